@@ -53,12 +53,16 @@ def family_ancestors(closure: DataFrame) -> DataFrame:
     return pairs.filter(F.col("child") != F.col("ancestor")).distinct()
 
 
-def gene_families(gene_has_family: DataFrame) -> DataFrame:
-    """Distinct (gene key, own family) pairs. Keys are canonical: the files spell ids differently."""
+def _own_families(gene_has_family: DataFrame) -> DataFrame:
     pairs = gene_has_family.select(
         clean.canonical_gene_id("hgnc_id").alias("gene_key"), clean.to_integer("family_id").alias("family_id")
     )
-    return pairs.filter(F.col("gene_key").isNotNull() & F.col("family_id").isNotNull()).distinct()
+    return pairs.filter(F.col("gene_key").isNotNull() & F.col("family_id").isNotNull())
+
+
+def gene_families(gene_has_family: DataFrame) -> DataFrame:
+    """Distinct (gene key, own family) pairs. Keys are canonical: the files spell ids differently."""
+    return _own_families(gene_has_family).distinct()
 
 
 def family_names(family: DataFrame) -> DataFrame:
@@ -68,26 +72,24 @@ def family_names(family: DataFrame) -> DataFrame:
     return _last(named.filter(F.col("family_id").isNotNull()), "family_id")
 
 
-def gene_lineage_pairs(gene_has_family: DataFrame, closure: DataFrame, family: DataFrame) -> DataFrame:
-    """(gene key, family id, family name) for a gene's families and all their ancestors."""
-    own = gene_families(gene_has_family)
+def lineage_members(gene_has_family: DataFrame, closure: DataFrame, family: DataFrame) -> DataFrame:
+    """(gene key, family id, family name) for a gene's families and all their ancestors, with repeats."""
+    own = _own_families(gene_has_family)
     inherited = own.join(family_ancestors(closure), F.col("family_id") == F.col("child")).select(
         "gene_key", F.col("ancestor").alias("family_id")
     )
-    return own.union(inherited).distinct().join(family_names(family), "family_id").select(
-        "gene_key", "family_id", "family_name"
-    )
+    return own.union(inherited).join(family_names(family), "family_id").select("gene_key", "family_id", "family_name")
 
 
 def gene_lineage(gene_has_family: DataFrame, closure: DataFrame, family: DataFrame) -> DataFrame:
     """Aligned id and name arrays per gene, ascending by id. Ids without a family row are dropped.
 
-    The pairs are distinct, so an array holds at most one entry per existing family.
+    Repeats are dropped while collecting, before the shuffle, so an array never holds more than
+    one entry per existing family.
     """
     entry = F.struct("family_id", "family_name")
-    groups = gene_lineage_pairs(gene_has_family, closure, family).groupBy("gene_key").agg(
-        F.sort_array(F.collect_list(entry)).alias("_groups")
-    )
+    members = lineage_members(gene_has_family, closure, family)
+    groups = members.groupBy("gene_key").agg(F.sort_array(F.collect_set(entry)).alias("_groups"))
     return groups.select(
         "gene_key",
         F.col("_groups.family_id").alias("gene_group_ids"),

@@ -112,9 +112,11 @@ def filter_by_resource(
 
     A CASE over ``dataset`` cannot reach the parquet scan, a list of names can, and the tables
     are sorted by data set. ``datasets`` is a frame with the known names, by default the table's
-    own. With more than ``max_names`` matching names the CASE itself is the filter.
+    own. Where there are more than ``max_names`` names, the CASE itself is the filter.
     """
     is_wanted: Column = resource_expr(rules, "dataset") == wanted
-    known = (datasets if datasets is not None else df).select("dataset").distinct()
-    names = [r[0] for r in known.filter(is_wanted).limit(max_names + 1).collect()]
-    return df.filter(is_wanted if len(names) > max_names else F.col("dataset").isin(names))
+    known = (datasets if datasets is not None else df).select("dataset").distinct().limit(max_names + 1).collect()
+    if len(known) > max_names:
+        return df.filter(is_wanted)
+    names = df.sparkSession.createDataFrame(known, "dataset string").filter(is_wanted).collect()
+    return df.filter(F.col("dataset").isin([row["dataset"] for row in names]))

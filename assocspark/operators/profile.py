@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assocspark.functions.resources import Rule, matched_rule, resource_expr
-from assocspark.operators.views import derived_names
+from assocspark.operators.views import derive, derived_from
 from assocspark.schemas import DERIVED_COMMENTS, TABLES
 
 
@@ -33,17 +33,31 @@ def _long(df: DataFrame, columns: list[str], *ids: str) -> DataFrame:
     return text.unpivot(list(ids), columns, "column_name", "value").filter(F.col("value").isNotNull())
 
 
-def allowed_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct values of several columns from one scan, as (column_name, value) rows in order."""
-    return _long(df, columns).distinct().orderBy("column_name", "value")
+def _combinations(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct combinations of view columns, reduced on stored columns before any is derived.
+
+    The rules behind ``resource`` then run once per combination instead of once per row.
+    """
+    sources = derived_from(table)
+    stored = [c for c in columns if c not in sources]
+    stored += [c for name in columns for c in sources.get(name, [])]
+    reduced = df.select(*dict.fromkeys(stored)).distinct()
+    return derive(table, reduced, columns).select(*columns)
+
+
+def allowed_values(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct values of several view columns from one scan, as (column_name, value) rows in order."""
+    return _long(_combinations(table, df, columns), columns).distinct().orderBy("column_name", "value")
 
 
-def allowed_values_by(df: DataFrame, columns: list[str], parent: str) -> DataFrame:
-    """Distinct values of several columns per value of a parent column."""
-    known = df.filter(F.col(parent).isNotNull())
-    # Unpivoted columns keep their names; the parent gets its own, as it may be listed too.
-    named = known.withColumn("parent_value", F.col(parent).cast("string"))
-    return _long(named, columns, "parent_value").distinct().orderBy("parent_value", "column_name", "value")
+def allowed_values_by(table: str, df: DataFrame, columns: list[str], parent: str) -> DataFrame:
+    """Distinct values of several view columns per value of a parent column."""
+    named = _combinations(table, df, [*columns, parent]).withColumn("parent_value", F.col(parent).cast("string"))
+    # Counting the parent drops NULL parents after the reduction; as a filter the check would
+    # move down to the scan and derive the parent there once more for every row.
+    groups = _long(named, columns, "parent_value").groupBy("parent_value", "column_name", "value")
+    known = groups.agg(F.count("parent_value").alias("_n")).filter("_n > 0").drop("_n")
+    return known.orderBy("parent_value", "column_name", "value")
 
 
 def collection_of(value: Column, prefixes: list[str]) -> Column:
@@ -113,33 +127,40 @@ def _type_name(data_type: T.DataType) -> str:
     return _TYPE_NAMES.get(element.simpleString(), element.simpleString().upper())
 
 
-def data_dictionary(views: dict[str, DataFrame], overrides: dict[tuple[str, str], str] | None = None) -> DataFrame:
+def data_dictionary(frames: dict[str, DataFrame], overrides: dict[tuple[str, str], str] | None = None) -> DataFrame:
     """Per view and column: type, mode, description, rows of the view and NULLs in the column.
 
-    One aggregate pass per view. ``overrides`` gives descriptions that win over the registry's.
+    Takes the stored tables and makes one aggregate pass over each; NULLs of a derived column
+    are counted from its sources. ``overrides`` gives descriptions that win over the registry's.
     """
     overrides = overrides or {}
     parts = []
-    for table, df in views.items():
-        known = {f.name: f.metadata["comment"] for f in TABLES[table].schema}
-        known.update({d: DERIVED_COMMENTS[d] for d in derived_names(table)})
-        entries = F.array(
-            *[
+    for table, df in frames.items():
+        spec, sources = TABLES[table], derived_from(table)
+        columns = [(f.name, _type_name(f.dataType), spec.schema[f.name].metadata["comment"], [f.name]) for f in df.schema]
+        columns += [(n, "FLOAT64" if n == "maf" else "STRING", DERIVED_COMMENTS[n], by) for n, by in sources.items()]
+        counts, entries = [F.count(F.lit(1)).alias("_rows")], []
+        for i, (name, kind, comment, by) in enumerate(columns):
+            counts.append(F.count(*by).alias(f"n{i}") if len(by) == 1 else _count_complete(by).alias(f"n{i}"))
+            entries.append(
                 F.struct(
                     F.lit(i).alias("position"),
-                    F.lit(f.name).alias("column_name"),
-                    F.lit(_type_name(f.dataType)).alias("type"),
-                    F.lit(column_mode(table, f.name)).alias("mode"),
-                    F.lit(overrides.get((table, f.name), known.get(f.name, ""))).alias("description"),
+                    F.lit(name).alias("column_name"),
+                    F.lit(kind).alias("type"),
+                    F.lit(column_mode(table, name)).alias("mode"),
+                    F.lit(overrides.get((table, name), comment)).alias("description"),
                     (F.col("_rows") - F.col(f"n{i}")).alias("n_null"),
                 )
-                for i, f in enumerate(df.schema)
-            ]
-        )
-        counts = df.agg(
-            F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]
-        )
+            )
         parts.append(
-            counts.select(F.lit(f"{table}_v").alias("view_name"), F.col("_rows").alias("n_rows"), F.inline(entries))
+            df.agg(*counts).select(
+                F.lit(f"{table}_v").alias("view_name"), F.col("_rows").alias("n_rows"), F.inline(F.array(*entries))
+            )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+def _count_complete(columns: list[str]) -> Column:
+    """Rows in which no column is NULL; without columns, all rows."""
+    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns], F.lit(True))
+    return F.count_if(complete)

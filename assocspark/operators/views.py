@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from assocspark.functions import clean
-from assocspark.functions.resources import resource
+from assocspark.functions.resources import CONSTANT_RESOURCES, resource
 from assocspark.schemas import TABLES
 
 # Derived columns of each view, in view order; a frequency column after "maf:".
@@ -30,20 +30,37 @@ def derived_names(table: str) -> list[str]:
     return [d.split(":")[0] for d in DERIVED[table]]
 
 
-def _derived(table: str, item: str):
-    name, _, source = item.partition(":")
-    if name == "variant":
-        column = clean.variant_id()
-    elif name == "maf":
-        column = clean.minor_allele_frequency(source)
-    else:
-        column = resource(table, name.replace("resource", "dataset"))
-    return column.alias(name)
+def derived_from(table: str) -> dict[str, list[str]]:
+    """Stored columns behind each derived column; it is NULL exactly where one of them is."""
+    sources = {}
+    for item in DERIVED[table]:
+        name, _, frequency = item.partition(":")
+        if name == "variant":
+            sources[name] = ["chr", "pos", "ref", "alt"]
+        elif name == "maf":
+            sources[name] = [frequency]
+        else:
+            sources[name] = [] if table in CONSTANT_RESOURCES else [name.replace("resource", "dataset")]
+    return sources
+
+
+def derive(table: str, df: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Add derived columns, all or the named ones."""
+    sources = derived_from(table)
+
+    def column(name: str):
+        if name == "variant":
+            return clean.variant_id().alias(name)
+        if name == "maf":
+            return clean.minor_allele_frequency(*sources[name]).alias(name)
+        return resource(table, *sources[name]).alias(name)
+
+    return df.select("*", *[column(n) for n in sources if names is None or n in names])
 
 
 def view(table: str, df: DataFrame) -> DataFrame:
     """The view of a table; unused derived columns cost nothing, Catalyst prunes them."""
-    return df.select("*", *[_derived(table, item) for item in DERIVED[table]])
+    return derive(table, df)
 
 
 def base_name(name: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assocspark.plans.bgz_files import write_bgzf
-from assocspark.operators import profile, results, views
+from assocspark.operators import profile, results
 from assocspark.plans.registry import Inputs, query
 from assocspark.schemas import TABLES
 from assocspark.sources import tables, text
@@ -206,5 +206,5 @@ def required_violations(t: Inputs):
 )
 def schema_registry(t: Inputs):
     """Declared type and mode per column, next to the non-NULL values the data holds."""
-    checked = {name: views.view(name, t(name)) for name in ("credible_sets", "coloc_credsets", "hla_associations", "gene_burden_results")}
+    checked = {name: t(name) for name in ("credible_sets", "coloc_credsets", "hla_associations", "gene_burden_results")}
     return profile.data_dictionary(checked).withColumn("n_known", F.col("n_rows") - F.col("n_null"))

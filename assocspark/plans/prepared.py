@@ -51,7 +51,7 @@ def peak_to_gene(t: Inputs):
   JOIN family f ON CAST(f.id AS BIGINT) = p.family_id""",
 )
 def lineage_pairs(t: Inputs):
-    return genes.gene_lineage_pairs(t("gene_has_family"), t("hierarchy_closure"), t("family"))
+    return genes.lineage_members(t("gene_has_family"), t("hierarchy_closure"), t("family")).distinct()
 
 
 # The arrays of the gene table are compared as text, "[1, 2]" and "['a', 'b']".

@@ -45,12 +45,12 @@ _CS_VIEW = f"({view_sql('credible_sets')}) v"
 
 @query("allowed_values", "credible_sets", _values_sql(_FLAT, _CS_VIEW))
 def allowed_values(t: Inputs):
-    return profile.allowed_values(t.view("credible_sets"), list(_FLAT))
+    return profile.allowed_values("credible_sets", t("credible_sets"), list(_FLAT))
 
 
 @query("allowed_values_by", "credible_sets", _values_sql(("data_type", "cell_type"), _CS_VIEW, "resource"))
 def allowed_values_by(t: Inputs):
-    return profile.allowed_values_by(t.view("credible_sets"), ["data_type", "cell_type"], "resource")
+    return profile.allowed_values_by("credible_sets", t("credible_sets"), ["data_type", "cell_type"], "resource")
 
 
 @query(
@@ -60,7 +60,7 @@ def allowed_values_by(t: Inputs):
   count(*) AS n_values FROM ({_values_sql(_FLAT, _CS_VIEW)}) GROUP BY 1, 2, 3""",
 )
 def compact_values(t: Inputs):
-    values = profile.allowed_values(t.view("credible_sets"), list(_FLAT))
+    values = profile.allowed_values("credible_sets", t("credible_sets"), list(_FLAT))
     return profile.compact_values(values, ["qtd"])
 
 
@@ -71,7 +71,7 @@ def compact_values(t: Inputs):
   column_name, value FROM ({_values_sql(("data_type",), _CS_VIEW, "resource")})""",
 )
 def compact_values_by(t: Inputs):
-    values = profile.allowed_values_by(t.view("credible_sets"), ["data_type"], "resource")
+    values = profile.allowed_values_by("credible_sets", t("credible_sets"), ["data_type"], "resource")
     return profile.compact_values_by(values, ["qtd"])
 
 
@@ -105,4 +105,4 @@ CROSS JOIN (SELECT count(*) AS n_rows FROM {table}) n"""
 
 @query("data_dictionary", " ".join(TABLES), " UNION ALL ".join(_dictionary_sql(name) for name in TABLES))
 def data_dictionary(t: Inputs):
-    return profile.data_dictionary({name: t.view(name) for name in TABLES}).drop("position")
+    return profile.data_dictionary({name: t(name) for name in TABLES}).drop("position")

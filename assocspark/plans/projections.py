@@ -62,8 +62,8 @@ def _register_resource(table: str, dataset: str) -> None:
         f"SELECT {dataset}, {resource_sql(table, dataset)} AS resource, count(*) AS n FROM {table} GROUP BY 1, 2",
     )
     def build(t: Inputs):
-        named = t(table).select(dataset, resource(table, dataset).alias("resource"))
-        return named.groupBy(dataset, "resource").agg(F.count(F.lit(1)).alias("n"))
+        counts = t(table).groupBy(dataset).agg(F.count(F.lit(1)).alias("n"))
+        return counts.select(dataset, resource(table, dataset).alias("resource"), "n")
 
 
 for _table in (
@@ -80,8 +80,8 @@ for _table in (
   {resource_sql('colocalization', 'dataset2')} AS resource2, count(*) AS n FROM colocalization GROUP BY 1, 2, 3, 4""",
 )
 def resource_pair(t: Inputs):
-    pairs = t.view("colocalization").groupBy("dataset1", "dataset2", "resource1", "resource2")
-    return pairs.agg(F.count(F.lit(1)).alias("n"))
+    pairs = t("colocalization").groupBy("dataset1", "dataset2").agg(F.count(F.lit(1)).alias("n"))
+    return views.derive("colocalization", pairs)
 
 
 @query(

@@ -42,7 +42,7 @@ def coloc_either_side(t: Inputs):
     return lookups.colocalizations_of(t("colocalization"), "G26")
 
 
-_VARIANTS = ["3:1001:C:T", "9:24002:G:A", "10:24002:G:A", "11:26001:C:T", "5:3001:C:T", "99:1:A:G"]
+_VARIANTS = ["10:103003:T:C", "10:327004:A:G", "11:98002:G:A", "12:425001:C:T", "13:496006:G:A", "99:1:A:G"]
 
 
 @query(
