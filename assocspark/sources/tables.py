@@ -12,12 +12,12 @@ from assocspark.schemas import TABLES, table as registered
 WRITE_MODES = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite", "WRITE_EMPTY": "append"}
 
 
-def _has_rows(spark: SparkSession, path: str) -> bool:
+def _has_rows(spark: SparkSession, table: str, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(hadoop_path) or not system.listStatus(hadoop_path):
         return False
-    return not spark.read.parquet(path).isEmpty()
+    return not read_table(spark, table, path).isEmpty()
 
 
 def described(df: DataFrame, table: str) -> DataFrame:
@@ -56,7 +56,7 @@ def write_table(df: DataFrame, table: str, path: str, write_mode: str = "WRITE_T
     if write_mode not in WRITE_MODES:
         raise ValueError(f"write mode {write_mode!r} is not one of {', '.join(WRITE_MODES)}")
     spec = registered(table)
-    if write_mode == "WRITE_EMPTY" and _has_rows(df.sparkSession, path):
+    if write_mode == "WRITE_EMPTY" and _has_rows(df.sparkSession, table, path):
         raise ValueError(f"{path} already holds rows")
     counted = Observation()
     out = laid_out(described(df, table), table).observe(counted, F.count(F.lit(1)).alias("rows"))
