@@ -127,40 +127,45 @@ def _type_name(data_type: T.DataType) -> str:
     return _TYPE_NAMES.get(element.simpleString(), element.simpleString().upper())
 
 
-def data_dictionary(frames: dict[str, DataFrame], overrides: dict[tuple[str, str], str] | None = None) -> DataFrame:
-    """Per view and column: type, mode, description, rows of the view and NULLs in the column.
+def data_dictionary(
+    frames: dict[str, DataFrame],
+    overrides: dict[tuple[str, str], str] | None = None,
+    categorical: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """Per view and column: type, mode, description, rows of the view, NULLs and allowed values.
 
     Takes the stored tables and makes one aggregate pass over each; NULLs of a derived column
     are counted from its sources. ``overrides`` gives descriptions that win over the registry's.
+    ``categorical`` names columns whose distinct values are counted, for the others it is NULL.
     """
-    overrides = overrides or {}
-    parts = []
-    for table, df in frames.items():
-        spec, sources = TABLES[table], derived_from(table)
-        columns = [(f.name, _type_name(f.dataType), spec.schema[f.name].metadata["comment"], [f.name]) for f in df.schema]
-        columns += [(n, "FLOAT64" if n == "maf" else "STRING", DERIVED_COMMENTS[n], by) for n, by in sources.items()]
-        counts, entries = [F.count(F.lit(1)).alias("_rows")], []
-        for i, (name, kind, comment, by) in enumerate(columns):
-            counts.append(F.count(*by).alias(f"n{i}") if len(by) == 1 else _count_complete(by).alias(f"n{i}"))
-            entries.append(
-                F.struct(
-                    F.lit(i).alias("position"),
-                    F.lit(name).alias("column_name"),
-                    F.lit(kind).alias("type"),
-                    F.lit(column_mode(table, name)).alias("mode"),
-                    F.lit(overrides.get((table, name), comment)).alias("description"),
-                    (F.col("_rows") - F.col(f"n{i}")).alias("n_null"),
-                )
-            )
-        parts.append(
-            df.agg(*counts).select(
-                F.lit(f"{table}_v").alias("view_name"), F.col("_rows").alias("n_rows"), F.inline(F.array(*entries))
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _count_complete(columns: list[str]) -> Column:
-    """Rows in which no column is NULL; without columns, all rows."""
-    complete = reduce(Column.__and__, [F.col(c).isNotNull() for c in columns], F.lit(True))
-    return F.count_if(complete)
+    overrides, categorical = overrides or {}, categorical or {}
+    parts = [_describe(table, df, overrides) for table, df in frames.items()]
+    described = reduce(DataFrame.unionByName, parts)
+    counted = [
+        _long(_combinations(table, frames[table], columns), columns)
+        .distinct()
+        .groupBy("column_name")
+        .agg(F.count(F.lit(1)).alias("n_allowed"))
+        .withColumn("view_name", F.lit(f"{table}_v"))
+        for table, columns in categorical.items()
+    ]
+    if not counted:
+        return described.withColumn("n_allowed", F.lit(None).cast("bigint"))
+    return described.join(reduce(DataFrame.unionByName, counted), ["view_name", "column_name"], "left")
+
+
+def _describe(table: str, df: DataFrame, overrides: dict[tuple[str, str], str]) -> DataFrame:
+    spec, sources = TABLES[table], derived_from(table)
+    columns = [(f.name, _type_name(f.dataType), spec.schema[f.name].metadata["comment"], [f.name]) for f in df.schema]
+    columns += [(n, "FLOAT64" if n == "maf" else "STRING", DERIVED_COMMENTS[n], by) for n, by in sources.items()]
+    counts, entries = ["count(*) AS _rows"], []
+    for i, (name, kind, comment, by) in enumerate(columns):
+        complete = " AND ".join(f"`{c}` IS NOT NULL" for c in by) or "true"
+        counts.append(f"count_if({complete}) AS n{i}")
+        texts = (name, kind, column_mode(table, name), overrides.get((table, name), comment))
+        quoted = ", ".join("'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in texts)
+        entries.append(f"struct({i}, {quoted}, _rows - n{i})")
+    names = "position, column_name, type, mode, description, n_null"
+    return df.selectExpr(*counts).selectExpr(
+        f"'{table}_v' AS view_name", "_rows AS n_rows", f"inline(array({', '.join(entries)})) AS ({names})"
+    )

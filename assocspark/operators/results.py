@@ -59,3 +59,8 @@ def stringify(df: DataFrame) -> DataFrame:
         return column if isinstance(field.dataType, plain) else column.cast("string").alias(field.name)
 
     return df.select(*[shown(f) for f in df.schema])
+
+
+def answer(df: DataFrame, max_rows: int = DEFAULT_ROWS) -> DataFrame:
+    """A query result as it is handed out: capped, with dates and arrays as text."""
+    return capped(stringify(df), max_rows)

@@ -103,6 +103,23 @@ JOIN (VALUES {rows}) AS d(column_name, type, mode, description) ON d.column_name
 CROSS JOIN (SELECT count(*) AS n_rows FROM {table}) n"""
 
 
-@query("data_dictionary", " ".join(TABLES), " UNION ALL ".join(_dictionary_sql(name) for name in TABLES))
+_CATEGORICAL = {
+    "credible_sets": ["data_type", "resource"],
+    "gene_burden_results": ["annotation", "resource"],
+    "mpra": ["cell_line"],
+}
+_ALLOWED_SQL = " UNION ALL ".join(
+    f"SELECT '{table}_v' AS view_name, '{c}' AS column_name, count(DISTINCT {c}) AS n_allowed FROM ({view_sql(table)})"
+    for table, columns in _CATEGORICAL.items()
+    for c in columns
+)
+
+
+@query(
+    "data_dictionary",
+    " ".join(TABLES),
+    f"""SELECT d.*, a.n_allowed FROM ({" UNION ALL ".join(_dictionary_sql(name) for name in TABLES)}) d
+LEFT JOIN ({_ALLOWED_SQL}) a ON a.view_name = d.view_name AND a.column_name = d.column_name""",
+)
 def data_dictionary(t: Inputs):
-    return profile.data_dictionary({name: t(name) for name in TABLES}).drop("position")
+    return profile.data_dictionary({name: t(name) for name in TABLES}, categorical=_CATEGORICAL).drop("position")

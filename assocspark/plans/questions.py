@@ -82,26 +82,23 @@ def exome_gene(t: Inputs):
     return lookups.top(found, "mlog10p", 100, "chr", "pos", "ref", "alt", "annotation", "trait", "beta")
 
 
-@query(
-    "burden_significant",
-    "gene_burden_results",
-    """SELECT gene, trait, annotation, mlog10p_burden, beta FROM gene_burden_results WHERE mlog10p_burden > 5
-ORDER BY mlog10p_burden DESC, gene, trait, annotation, beta""",
-)
+_BURDEN = "gene, trait, annotation, mlog10p_burden, beta"
+
+
+@query("burden_significant", "gene_burden_results", f"SELECT {_BURDEN} FROM gene_burden_results WHERE mlog10p_burden > 5")
 def burden_significant(t: Inputs):
-    found = lookups.significant_burden(t("gene_burden_results"))
-    return found.orderBy(F.col("mlog10p_burden").desc(), "gene", "trait", "annotation", "beta")
+    return lookups.significant_burden(t("gene_burden_results"))
 
 
 @query(
     "top_hits",
     "gene_burden_results",
-    """SELECT gene, trait, annotation, mlog10p_burden, beta FROM gene_burden_results
+    f"""SELECT {_BURDEN} FROM gene_burden_results WHERE mlog10p_burden > 5
 ORDER BY mlog10p_burden DESC NULLS LAST, gene, trait, annotation, beta LIMIT 100""",
 )
 def top_hits(t: Inputs):
-    rows = t("gene_burden_results").select("gene", "trait", "annotation", "mlog10p_burden", "beta")
-    return lookups.top(rows, "mlog10p_burden", 100, "gene", "trait", "annotation", "beta")
+    found = lookups.significant_burden(t("gene_burden_results"))
+    return lookups.top(found, "mlog10p_burden", 100, "gene", "trait", "annotation", "beta")
 
 
 @query("genes_in_group", "gene_annotations", "SELECT symbol, chr, gene_start, gene_end FROM gene_annotations WHERE regexp_matches(gene_group_ids, '\\b12\\b')")

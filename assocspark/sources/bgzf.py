@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 MEMBER = b"\x1f\x8b\x08\x04"
 _MAX_BLOCK = 1 << 16
 SPLIT_BYTES = 64 << 20
+MAX_TASKS = 50_000
 
 
 def file_system(uri: str):
@@ -147,15 +148,19 @@ def _read_ranges(skip_leading_rows: int, batch_lines: int = 50_000):
 def read_bgzf_lines(
     spark: SparkSession, paths: str | list[str], skip_leading_rows: int = 1, split_bytes: int = SPLIT_BYTES
 ) -> DataFrame:
-    """Lines of block-gzip files as a ``value`` column, one task per byte range.
+    """Lines of block-gzip files as a ``value`` column, about one task per byte range.
 
     The first ``skip_leading_rows`` lines of each file are dropped; they must lie in its first
     range. Fields cannot hold newlines, as in any position-indexed text file.
     """
     paths = [paths] if isinstance(paths, str) else paths
     # Only path and length are selected, so the listing reads no file content.
-    files = spark.read.format("binaryFile").load(paths).select("path", "length")
-    ranges = files.withColumn(
-        "start", F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest("length", F.lit(1)) - 1, F.lit(split_bytes).cast("bigint")))
-    ).withColumn("end", F.least(F.col("start") + split_bytes, F.col("length")))
-    return ranges.repartition("path", "start").mapInPandas(_read_ranges(skip_leading_rows), "value string")
+    files = spark.read.format("binaryFile").load(paths).select("path", "length").filter("length > 0")
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint"))
+    ranges = files.withColumn("start", F.explode(starts)).withColumn(
+        "end", F.least(F.col("start") + split_bytes, F.col("length"))
+    )
+    # A range is a tiny row for a lot of work: without a number of its own, adaptive execution
+    # would merge all of them into one task.
+    tasks = max(1, min(ranges.count(), MAX_TASKS))
+    return ranges.repartition(tasks, "path", "start").mapInPandas(_read_ranges(skip_leading_rows), "value string")

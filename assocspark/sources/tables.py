@@ -27,27 +27,29 @@ def described(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in present])
 
 
-def laid_out(df: DataFrame, table: str) -> DataFrame:
+def laid_out(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
     """Range-partition by chromosome, cluster columns and position; sort inside partitions.
 
     Chromosome alone gives some 25 keys of very different size. With the cluster columns and
     the position behind it, a large chromosome or a hot data set is cut into as many ranges as
     it needs, and each file covers a narrow range of the cluster columns, so their min/max
     statistics prune. The input partition number comes last and cuts runs of equal rows.
+
+    Without ``partitions`` Spark starts from its shuffle partitions and merges small ones; for a
+    very large load give a number that makes each some hundred megabytes.
     """
     spec = registered(table)
     order = [spec.partition] if spec.partition else []
     order += list(spec.cluster) + ["pos", "peak_start", "gene_start_pos", "region_start_min", "ref", "alt"]
     order = [c for c in dict.fromkeys(order) if c in df.columns]
-    return (
-        df.withColumn("_split", F.spark_partition_id())
-        .repartitionByRange(*order, "_split")
-        .drop("_split")
-        .sortWithinPartitions(*order)
-    )
+    cut = [*order, "_split"] if partitions is None else [partitions, *order, "_split"]
+    tagged = df.withColumn("_split", F.spark_partition_id())
+    return tagged.repartitionByRange(*cut).drop("_split").sortWithinPartitions(*order)
 
 
-def write_table(df: DataFrame, table: str, path: str, write_mode: str = "WRITE_TRUNCATE") -> int:
+def write_table(
+    df: DataFrame, table: str, path: str, write_mode: str = "WRITE_TRUNCATE", partitions: int | None = None
+) -> int:
     """Write rows of a registered table and return how many this write added.
 
     The count is observed above the last shuffle, so it holds rows of this write only and is
@@ -59,7 +61,7 @@ def write_table(df: DataFrame, table: str, path: str, write_mode: str = "WRITE_T
     if write_mode == "WRITE_EMPTY" and _has_rows(df.sparkSession, table, path):
         raise ValueError(f"{path} already holds rows")
     counted = Observation()
-    out = laid_out(described(df, table), table).observe(counted, F.count(F.lit(1)).alias("rows"))
+    out = laid_out(described(df, table), table, partitions).observe(counted, F.count(F.lit(1)).alias("rows"))
     writer = out.write.mode(WRITE_MODES[write_mode])
     if spec.partition and spec.partition in df.columns:
         writer = writer.partitionBy(spec.partition)

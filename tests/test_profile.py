@@ -83,6 +83,7 @@ def test_caps(spark):
     assert len(capped) == 10 and {(r["total_rows"], r["truncated"]) for r in capped} == {(25, True)}
     assert {r["truncated"] for r in results.capped(answer, 25).collect()} == {False}
     assert results.capped_flag(answer, 24)[1] and not results.capped_flag(answer, 25)[1]
+    assert results.answer(spark.sql("SELECT array(1L) AS a"), 5).collect() == [("[1]", 1, False)]
     for bad in (0, -1, 100_001):
         with pytest.raises(ValueError):
             results.capped(answer, bad)
