@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assocspark.functions import clean
+from assocspark.sources.text import read_strings
 
 
 def in_file_order(df: DataFrame) -> DataFrame:
@@ -145,6 +148,33 @@ def build_genes(
     )
 
 
+def build_from_files(
+    spark: SparkSession,
+    hgnc: str,
+    gencode: str,
+    gene_has_family: str,
+    closure: str,
+    family: str,
+    *,
+    hgnc_version: str,
+    gencode_version: str = "49",
+    download_date: str | None = None,
+) -> DataFrame:
+    """The gene table from its source files: two TSV files, then three CSV files."""
+    tsv = [read_strings(spark, path, "\t") for path in (hgnc, gencode)]
+    csv = [read_strings(spark, path, ",") for path in (gene_has_family, closure, family)]
+    return build_genes(
+        tsv[0],
+        in_file_order(tsv[1]),
+        csv[0],
+        csv[1],
+        in_file_order(csv[2]),
+        gencode_version=gencode_version,
+        hgnc_version=hgnc_version,
+        download_date=download_date or datetime.date.today().isoformat(),
+    )
+
+
 def lineage_present(genes: DataFrame) -> DataFrame:
     """Check after a rebuild: how many genes have groups, and whether any has."""
     grouped = F.count_if(F.size("gene_group_ids") > 0)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from assocspark.functions import clean
 
-SITE = ["chr", "pos", "ref", "alt"]
+SITE = ("chr", "pos", "ref", "alt")
 
 
 def caqtl_to_gene(credible_sets: DataFrame, links: DataFrame, same_cell_type: bool = True) -> DataFrame:
@@ -66,20 +66,28 @@ def trans_colocalization(
     return pairs.filter(far).drop("trait2", "gene_chr", "hit2_chr")
 
 
-def colocalized_members(colocalization: DataFrame, members: DataFrame, side: int) -> DataFrame:
-    """Variants of the colocalized set on one side (1 or 2)."""
-    pairs = colocalization.select(
-        "dataset1", "cs1_id", "dataset2", "cs2_id", "PP_H4_abf",
-        F.col(f"dataset{side}").alias("dataset"), F.col(f"cs{side}_id").alias("cs_id"),
+def colocalized_members(colocalization: DataFrame, members: DataFrame, sides: tuple[int, ...] = (1, 2)) -> DataFrame:
+    """Variants of the colocalized sets, with the side they are on.
+
+    The sides of a pair become rows, so the members, the larger table, are read and shuffled once.
+    """
+    either = F.array(
+        *[
+            F.struct(F.lit(i).alias("side"), F.col(f"dataset{i}").alias("dataset"), F.col(f"cs{i}_id").alias("cs_id"))
+            for i in sides
+        ]
     )
+    pairs = colocalization.select("dataset1", "cs1_id", "dataset2", "cs2_id", "PP_H4_abf", F.inline(either))
     variants = members.select("dataset", "cs_id", *SITE, "pip")
-    return pairs.join(variants, ["dataset", "cs_id"]).drop("dataset", "cs_id").withColumn("side", F.lit(side))
+    return pairs.join(variants, ["dataset", "cs_id"]).drop("dataset", "cs_id")
 
 
-def annotate_variants(variants: DataFrame, annotations: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
-    """Add annotation columns by chromosome, position and alleles.
+def annotate_variants(
+    variants: DataFrame, annotations: DataFrame, columns: list[str], how: str = "inner", keys: tuple[str, ...] = SITE
+) -> DataFrame:
+    """Add annotation columns by site, or by ``keys=("chr", "variant")`` where both sides store the id.
 
-    The four keys spread well, and the chromosome among them prunes partitions of one side by a
-    filter on the other.
+    The keys spread well, and the chromosome among them prunes partitions of one side by a filter
+    on the other.
     """
-    return variants.join(annotations.select(*SITE, *columns), SITE, how)
+    return variants.join(annotations.select(*keys, *columns), list(keys), how)

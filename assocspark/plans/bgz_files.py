@@ -49,7 +49,10 @@ def write_bgzf(df: DataFrame, path: str, sep: str = "\t") -> int:
             if pending:
                 out.write(_block(pending))
             out.write(_block(b""))
-        system.move(draft, final)
+        try:
+            system.move(draft, final)
+        except OSError:  # another attempt was first
+            system.delete_file(draft)
         yield pd.DataFrame({"rows": [rows]})
 
     counts = df.mapInPandas(write, "rows bigint").agg(F.sum("rows").alias("rows")).first()

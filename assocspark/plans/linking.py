@@ -80,8 +80,7 @@ FROM colocalization c JOIN coloc_credsets v ON v.dataset = c.dataset{side} AND v
 @query("coloc_members", "colocalization coloc_credsets", _MEMBER.format(side=1) + " UNION ALL " + _MEMBER.format(side=2))
 def coloc_members(t: Inputs):
     strong = t("colocalization").filter("PP_H4_abf > 9.9e-1")
-    first = joins.colocalized_members(strong, t("coloc_credsets"), 1)
-    return first.unionByName(joins.colocalized_members(strong, t("coloc_credsets"), 2))
+    return joins.colocalized_members(strong, t("coloc_credsets"))
 
 
 @query(
@@ -95,6 +94,18 @@ def annotate_variants(t: Inputs):
     return joins.annotate_variants(variants, t("variant_annotation"), ["rsid", "AF"])
 
 
+@query(
+    "effects_of_variants",
+    "variant_annotation variant_effect",
+    """SELECT a.chr, a.variant, a.rsid, e.model, e.score, e.is_significant FROM variant_annotation a
+JOIN variant_effect e ON e.chr = a.chr AND e.variant = a.variant WHERE e.score < -4.5e-1""",
+)
+def effects_of_variants(t: Inputs):
+    effects = t("variant_effect").filter("score < -4.5e-1")
+    variants = t("variant_annotation").select("chr", "variant", "rsid")
+    return joins.annotate_variants(variants, effects, ["model", "score", "is_significant"], keys=("chr", "variant"))
+
+
 @query(
     "variant_in_peak",
     "credible_sets open_chromatin",

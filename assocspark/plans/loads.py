@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assocspark.plans.bgz_files import write_bgzf
-from assocspark.operators import profile, results
+from assocspark.operators import genes, profile, results
 from assocspark.plans.registry import Inputs, query
 from assocspark.schemas import TABLES
 from assocspark.sources import tables, text
@@ -24,7 +24,7 @@ def write_tsv(df: DataFrame, path: str, by: str | None = None) -> str:
     shown = as_text(df)
     if by:
         shown = shown.withColumn("_by", F.col(by))
-    writer = shown.write.options(sep="\t", header=True, compression="gzip", emptyValue="")
+    writer = shown.write.options(sep="\t", header=True, compression="gzip", emptyValue="", escape='"')
     (writer.partitionBy("_by") if by else writer).csv(path)
     return path
 
@@ -76,6 +76,20 @@ def scan_strings(t: Inputs):
     return text.read_strings(t.spark, path, ",")
 
 
+@query("gene_build_files", "gene_annotations", "SELECT * FROM gene_annotations")
+def gene_build_files(t: Inputs):
+    """The gene build from its five files."""
+    base, paths = t.scratch(), {}
+    files = {"hgnc": "\t", "gencode": "\t", "gene_has_family": ",", "hierarchy_closure": ",", "family": ","}
+    for name, sep in files.items():
+        paths[name] = f"{base}/{name}"
+        t(name).write.options(sep=sep, header=True, escape='"').csv(paths[name])
+    built = genes.build_from_files(
+        t.spark, *paths.values(), gencode_version="49", hgnc_version="2026-06-01", download_date="2026-06-02"
+    )
+    return results.stringify(built)
+
+
 @query("scan_bgz", "coloc_credsets", "SELECT * FROM coloc_credsets")
 def scan_bgz(t: Inputs):
     path = f"{t.scratch()}/coloc_credsets"

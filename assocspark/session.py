@@ -18,10 +18,16 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the operators are designed for to an existing session."""
+def configure(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
+    """Apply the settings the operators are designed for to an existing session.
+
+    ``initial_partitions`` is the number of shuffle partitions adaptive execution starts from and
+    merges down; for large data choose it so that a partition stays within some hundred megabytes.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if initial_partitions:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     return spark
 
 

@@ -52,6 +52,7 @@ def read_fields(
     text = _text_schema(schema)
     options = {
         "sep": "\t",
+        "escape": '"',
         "mode": "FAILFAST",
         "nullValue": _NO_NULL_TEXT,
     }
