@@ -211,14 +211,3 @@ UNION ALL SELECT 'ref', count_if(ref IS NULL) FROM asm_qtl UNION ALL SELECT 'rsi
 )
 def required_violations(t: Inputs):
     return profile.required_violations(t("asm_qtl"), ["ref", "alt", "rsid"])
-
-
-@query(
-    "schema_registry",
-    "hla_associations coloc_credsets",
-    None,
-)
-def schema_registry(t: Inputs):
-    """Declared type and mode per column, next to the non-NULL values the data holds."""
-    checked = {name: t(name) for name in ("credible_sets", "coloc_credsets", "hla_associations", "gene_burden_results")}
-    return profile.data_dictionary(checked).withColumn("n_known", F.col("n_rows") - F.col("n_null"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from assocspark.functions.resources import rules_for
 from assocspark.operators import profile, views
 from assocspark.plans.projections import resource_sql, view_sql
@@ -123,3 +125,21 @@ LEFT JOIN ({_ALLOWED_SQL}) a ON a.view_name = d.view_name AND a.column_name = d.
 )
 def data_dictionary(t: Inputs):
     return profile.data_dictionary({name: t(name) for name in TABLES}, categorical=_CATEGORICAL).drop("position")
+
+
+# Tables of which the stand-ins have every stored column.
+_WHOLE = ("credible_sets", "coloc_credsets", "gene_burden_results", "hla_associations")
+
+
+@query(
+    "schema_registry",
+    " ".join(_WHOLE),
+    f"""SELECT view_name, column_name, type, mode, n_rows - n_null AS n_known, mode = 'REQUIRED' AND n_null > 0 AS violated
+FROM ({" UNION ALL ".join(_dictionary_sql(name) for name in _WHOLE)})""",
+)
+def schema_registry(t: Inputs):
+    """Declared type and mode per column, and whether the data keeps to it."""
+    found = profile.data_dictionary({name: t(name) for name in _WHOLE})
+    violated = (F.col("mode") == "REQUIRED") & (F.col("n_null") > 0)
+    known = (F.col("n_rows") - F.col("n_null")).alias("n_known")
+    return found.select("view_name", "column_name", "type", "mode", known, violated.alias("violated"))

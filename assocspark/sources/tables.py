@@ -27,6 +27,20 @@ def described(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in present])
 
 
+def _order(df: DataFrame, table: str) -> list[str]:
+    spec = registered(table)
+    order = [spec.partition] if spec.partition else []
+    order += list(spec.cluster) + ["pos", "peak_start", "gene_start_pos", "region_start_min", "ref", "alt"]
+    return [c for c in dict.fromkeys(order) if c in df.columns]
+
+
+def _save(df: DataFrame, table: str, path: str, mode: str) -> None:
+    partition, writer = registered(table).partition, df.write.mode(mode)
+    if partition and partition in df.columns:
+        writer = writer.partitionBy(partition)
+    writer.parquet(path)
+
+
 def laid_out(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
     """Range-partition by chromosome, cluster columns and position; sort inside partitions.
 
@@ -38,10 +52,7 @@ def laid_out(df: DataFrame, table: str, partitions: int | None = None) -> DataFr
     Without ``partitions`` Spark starts from its shuffle partitions and merges small ones; for a
     very large load give a number that makes each some hundred megabytes.
     """
-    spec = registered(table)
-    order = [spec.partition] if spec.partition else []
-    order += list(spec.cluster) + ["pos", "peak_start", "gene_start_pos", "region_start_min", "ref", "alt"]
-    order = [c for c in dict.fromkeys(order) if c in df.columns]
+    order = _order(df, table)
     cut = [*order, "_split"] if partitions is None else [partitions, *order, "_split"]
     tagged = df.withColumn("_split", F.spark_partition_id())
     return tagged.repartitionByRange(*cut).drop("_split").sortWithinPartitions(*order)
@@ -57,15 +68,11 @@ def write_table(
     """
     if write_mode not in WRITE_MODES:
         raise ValueError(f"write mode {write_mode!r} is not one of {', '.join(WRITE_MODES)}")
-    spec = registered(table)
     if write_mode == "WRITE_EMPTY" and _has_rows(df.sparkSession, table, path):
         raise ValueError(f"{path} already holds rows")
     counted = Observation()
     out = laid_out(described(df, table), table, partitions).observe(counted, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode(WRITE_MODES[write_mode])
-    if spec.partition and spec.partition in df.columns:
-        writer = writer.partitionBy(spec.partition)
-    writer.parquet(path)
+    _save(out, table, path, WRITE_MODES[write_mode])
     return counted.get["rows"]
 
 
@@ -87,14 +94,24 @@ def without_owned(old: DataFrame, owned: Column) -> DataFrame:
     return old.filter(~F.coalesce(owned, F.lit(False)))
 
 
+def kept_rows(old: DataFrame, owned: Column, table: str) -> DataFrame:
+    """The rows that stay, each task's share sorted again: files are laid out already, so no shuffle."""
+    kept = described(without_owned(old, owned), table)
+    return kept.sortWithinPartitions(*_order(kept, table))
+
+
 def replace_rows(old: DataFrame, owned: Column, new: DataFrame, table: str, path: str) -> int:
-    """Write ``old`` without the owned rows, plus ``new``, to a new path.
+    """Write ``old`` without the owned rows, then ``new``, to a new path; returns the new rows.
 
     Parquet has no delete, and a path cannot be overwritten while it is read; readers switch to
-    the new path when the write is complete (``ALTER TABLE ... SET LOCATION`` for a catalog
-    table). The predicate must also name superseded data sets that ``new`` no longer holds.
+    the new path when both writes are complete (``ALTER TABLE ... SET LOCATION`` for a catalog
+    table). Only the new rows are shuffled. The predicate must also name superseded data sets
+    that ``new`` no longer holds.
     """
-    return write_table(without_owned(old, owned).unionByName(new), table, path, "WRITE_EMPTY")
+    if _has_rows(old.sparkSession, table, path):
+        raise ValueError(f"{path} already holds rows")
+    _save(kept_rows(old, owned, table), table, path, "append")
+    return write_table(new, table, path, "WRITE_APPEND")
 
 
 def create_tables(spark: SparkSession, database: str, tables: list[str] | None = None, recreate: bool = False) -> None:

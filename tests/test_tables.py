@@ -77,7 +77,10 @@ def test_replacing_keeps_other_and_unnamed_data_sets(spark, folder):
     tables.write_table(old, "coloc_credsets", f"{folder}/v1")
     stored = tables.read_table(spark, "coloc_credsets", f"{folder}/v1")
     owned = tables.owned_rows(["A", "gone"], "QTD%")
-    assert tables.replace_rows(stored, owned, coloc(spark, 5, "A"), "coloc_credsets", f"{folder}/v2") == 7
+    assert tables.replace_rows(stored, owned, coloc(spark, 5, "A"), "coloc_credsets", f"{folder}/v2") == 5
+    assert "Exchange" not in plan_of(tables.kept_rows(stored, owned, "coloc_credsets"))
+    with pytest.raises(ValueError, match="already holds rows"):
+        tables.replace_rows(stored, owned, coloc(spark, 5, "A"), "coloc_credsets", f"{folder}/v2")
     back = tables.read_table(spark, "coloc_credsets", f"{folder}/v2").groupBy("dataset").count()
     assert {r["dataset"]: r["count"] for r in back.collect()} == {"A": 5, "qtd2": 2}
     unnamed = spark.createDataFrame([("A",), (None,)], "dataset string")
