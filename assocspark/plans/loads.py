@@ -104,7 +104,7 @@ def scan_bgz(t: Inputs):
 )
 def const_column_load(t: Inputs):
     path = write_tsv(_hla_file(t), f"{t.scratch()}/hla")
-    return text.load_frame(t.spark, "hla_associations", path, {"dataset": "finngen_hla"})
+    return text.load_frame(t.spark, "hla_associations", path, {"dataset": tables.FILE_DATASETS["hla_associations"]})
 
 
 @query(
@@ -145,14 +145,15 @@ def write_modes(t: Inputs):
     "replace_rows",
     "credible_sets",
     """SELECT dataset, count(*) AS n, sum(cs_size) AS sizes FROM (
-  SELECT * FROM credible_sets WHERE NOT (dataset IN ('FinnGen_R14', 'UKB_PPP') OR dataset LIKE 'QTD%')
+  SELECT * FROM credible_sets WHERE dataset NOT LIKE 'QTD%' AND dataset NOT IN ('FinnGen_R14', 'UKB_PPP', 'FinnGen_Olink',
+    'FinnGen_ATACseq', 'Open_Targets_26.06', 'PGC_SCZ_2022')
   UNION ALL SELECT * FROM credible_sets WHERE dataset = 'UKB_PPP' AND pip > 5e-1) GROUP BY dataset""",
 )
 def replace_rows(t: Inputs):
     base, rows = t.scratch(), t("credible_sets")
     tables.write_table(rows, "credible_sets", f"{base}/v1")
     old = tables.read_table(t.spark, "credible_sets", f"{base}/v1")
-    owned = tables.owned_rows(["FinnGen_R14", "UKB_PPP"], "QTD%")
+    owned = tables.owned_rows(*tables.OWNED_DATASETS["fine_mapped"])
     new = rows.filter((F.col("dataset") == "UKB_PPP") & (F.col("pip") > 0.5))
     tables.replace_rows(old, owned, new, "credible_sets", f"{base}/v2")
     replaced = tables.read_table(t.spark, "credible_sets", f"{base}/v2")

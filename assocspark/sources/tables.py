@@ -12,6 +12,28 @@ from assocspark.schemas import TABLES, table as registered
 WRITE_MODES = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite", "WRITE_EMPTY": "append"}
 
 
+# Data sets that each of the two loads of credible sets owns, by name and by pattern.
+OWNED_DATASETS = {
+    "fine_mapped": (
+        ["FinnGen_R14", "FinnGen_kanta", "FinnGen_drugs", "FinnGen_Olink", "FinnGen_Olink_5K", "UKB_PPP",
+         "FinnGen_snRNAseq", "FinnGen_ATACseq", "Open_Targets_26.06", "PGC_SCZ_2022"],
+        "QTD%",
+    ),
+    "pseudo": (
+        ["FinnGen_R13_UKBB", "FinnGen_R13_UKBB_labs", "FinnGen_R13_MVP_UKBB", "FinnGen_R13_MVP_UKBB_labs",
+         "COVID19_HGI", "PGC", "GP2", "IIBDGC"],
+        None,
+    ),
+}
+
+# Data set of the tables whose file does not name it.
+FILE_DATASETS = {
+    "mpra": "siraj_mpra",
+    "hla_associations": "finngen_hla",
+    "peak_to_gene": "FinnGen_ATACseq",
+}
+
+
 def _has_rows(spark: SparkSession, table: str, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
