@@ -15,16 +15,25 @@ from assocspark.functions import clean
 SITE = ("chr", "pos", "ref", "alt")
 
 
-def caqtl_to_gene(credible_sets: DataFrame, links: DataFrame, same_cell_type: bool = True) -> DataFrame:
-    """Genes linked to the peaks of caQTL credible sets, in the same cell type or in any."""
+def caqtl_to_gene(
+    credible_sets: DataFrame, links: DataFrame, same_cell_type: bool = True, same_chr: bool = False
+) -> DataFrame:
+    """Genes linked to the peaks of caQTL credible sets, in the same cell type or in any.
+
+    With ``same_chr`` the variant must lie on the chromosome of the peak. For links of a few genes
+    Spark then reads only their chromosomes of the credible sets.
+    """
     peaks = credible_sets.filter(F.col("data_type") == "caQTL").select(
         F.col("trait").alias("peak_id"), "cell_type", "dataset", "cs_id", "chr", "pos", "ref", "alt", "pip"
     )
-    genes = links.select("peak_id", F.col("cell_type").alias("link_cell_type"), "symbol")
+    shown = ["symbol", *peaks.columns] if same_cell_type else ["symbol", "link_cell_type", *peaks.columns]
+    genes = links.select("peak_id", F.col("cell_type").alias("link_cell_type"), F.col("chr").alias("link_chr"), "symbol")
     pairs = peaks.join(genes, "peak_id")
     if same_cell_type:
         pairs = pairs.filter(F.col("cell_type") == F.col("link_cell_type"))
-    return pairs.select("symbol", *peaks.columns) if same_cell_type else pairs.select("symbol", "link_cell_type", *peaks.columns)
+    if same_chr:
+        pairs = pairs.filter(F.col("chr") == F.col("link_chr"))
+    return pairs.select(*shown)
 
 
 def _near_gene(window: int) -> Column:

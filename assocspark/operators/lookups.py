@@ -47,6 +47,20 @@ def variants_in_list(df: DataFrame, variants: list[str]) -> DataFrame:
     return df.filter(listed)
 
 
+def in_region(df: DataFrame, chrom: int, start: int, end: int, first: str, last: str | None = None) -> DataFrame:
+    """Rows that touch the 1-based region ``start`` to ``end``, both included.
+
+    ``first`` and ``last`` are 1-based columns of an interval, or ``first`` alone is a position. All
+    parts reach the scan: the chromosome as a partition, the bounds as parquet statistics.
+    """
+    return df.filter((F.col("chr") == chrom) & (F.col(first) <= end) & (F.col(last or first) >= start))
+
+
+def peaks_in_region(peaks: DataFrame, chrom: int, start: int, end: int) -> DataFrame:
+    """Peaks that touch the region; their start is 0-based, so it must lie before ``end``."""
+    return peaks.filter((F.col("chr") == chrom) & (F.col("peak_start") < end) & (F.col("peak_end") >= start))
+
+
 def exome_of_gene(exome: DataFrame, gene: str) -> DataFrame:
     return exome.filter(F.col("gene") == gene).select(
         "chr", "pos", "ref", "alt", "annotation", "trait", "mlog10p", "beta"

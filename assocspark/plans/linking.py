@@ -31,6 +31,18 @@ def caqtl_to_gene_any_cell(t: Inputs):
     return joins.caqtl_to_gene(t("credible_sets"), t("peak_to_gene"), same_cell_type=False)
 
 
+@query(
+    "caqtl_of_genes",
+    "credible_sets peak_to_gene",
+    """SELECT l.symbol, cs.trait AS peak_id, cs.cell_type, cs.dataset, cs.cs_id, cs.chr, cs.pos, cs.ref, cs.alt, cs.pip
+FROM credible_sets cs JOIN peak_to_gene l ON l.peak_id = cs.trait AND l.cell_type = cs.cell_type AND l.chr = cs.chr
+WHERE cs.data_type = 'caQTL' AND l.symbol IN ('G30', 'G69', 'G108')""",
+)
+def caqtl_of_genes(t: Inputs):
+    links = t("peak_to_gene").filter(F.col("symbol").isin("G30", "G69", "G108"))
+    return joins.caqtl_to_gene(t("credible_sets"), links, same_chr=True)
+
+
 _LEADS = """(SELECT *, CASE WHEN hit2 LIKE '%:%' THEN CAST(split_part(hit2, ':', 2) AS BIGINT) END AS hit2_pos,
   CASE WHEN hit2 LIKE '%:%' THEN CAST(split_part(hit2, ':', 1) AS BIGINT) END AS hit2_chr FROM colocalization WHERE data_type2 = 'pQTL')"""
 _COLOC = """SELECT c.dataset1, c.dataset2, c.trait1, a.symbol, c.hit1, c.hit2, c.hit2_pos, c.PP_H4_abf, a.gene_start, a.gene_end"""

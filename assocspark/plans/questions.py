@@ -71,6 +71,37 @@ def coding_in_gene(t: Inputs):
 _EXOME = "chr, pos, ref, alt, annotation, trait, mlog10p, beta"
 
 
+@query(
+    "coloc_in_region",
+    "colocalization",
+    """SELECT dataset1, dataset2, trait1, trait2, region_start_min, region_end_max, PP_H4_abf FROM colocalization
+WHERE chr = 3 AND region_start_min <= 200000 AND region_end_max >= 100000""",
+)
+def coloc_in_region(t: Inputs):
+    found = lookups.in_region(t("colocalization"), 3, 100_000, 200_000, "region_start_min", "region_end_max")
+    return found.select("dataset1", "dataset2", "trait1", "trait2", "region_start_min", "region_end_max", "PP_H4_abf")
+
+
+@query(
+    "variants_in_region",
+    "credible_sets",
+    "SELECT dataset, cs_id, pos, ref, alt, pip FROM credible_sets WHERE chr = 3 AND pos BETWEEN 100000 AND 200000",
+)
+def variants_in_region(t: Inputs):
+    found = lookups.in_region(t("credible_sets"), 3, 100_000, 200_000, "pos")
+    return found.select("dataset", "cs_id", "pos", "ref", "alt", "pip")
+
+
+@query(
+    "peaks_in_region",
+    "open_chromatin",
+    "SELECT peak_start, peak_end, dataset, tissue FROM open_chromatin WHERE chr = 3 AND peak_start < 200000 AND peak_end >= 10000",
+)
+def peaks_in_region(t: Inputs):
+    found = lookups.peaks_in_region(t("open_chromatin"), 3, 10_000, 200_000)
+    return found.select("peak_start", "peak_end", "dataset", "tissue")
+
+
 @query(
     "exome_gene",
     "exome_variant_results",

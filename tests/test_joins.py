@@ -58,7 +58,7 @@ def test_hot_key_is_split_and_the_result_is_whole(spark, merge_joins):
         F.sha2(F.col("id").cast("string"), 256).alias("cs_id"), F.lit(1).cast("bigint").alias("chr"), F.col("id").alias("pos"),
         F.lit("A").alias("ref"), F.lit("G").alias("alt"), F.lit(0.5).alias("pip"),
     )
-    links = spark.createDataFrame([("hot", "c", "G1"), ("hot", "c", "G2"), ("hot", "other", "G3"), ("p1", "c", "G4")], "peak_id string, cell_type string, symbol string")
+    links = spark.createDataFrame([("hot", "c", "G1"), ("hot", "c", "G2"), ("hot", "other", "G3"), ("p1", "c", "G4")], "peak_id string, cell_type string, symbol string").withColumn("chr", F.lit(1))
     joined = joins.caqtl_to_gene(variants, links)
     found = Counter(r["symbol"] for r in joined.select("symbol", "cs_id").collect())
     assert found == {"G1": 20_000, "G2": 20_000, "G4": variants.filter("trait = 'p1'").count()}
@@ -72,7 +72,8 @@ def test_any_cell_type_keeps_both(spark):
     for name, value in {"dataset": "d", "cs_id": "c", "ref": "A", "alt": "G"}.items():
         variants = variants.withColumn(name, F.lit(value))
     variants = variants.withColumns({"chr": F.lit(1), "pos": F.lit(1), "pip": F.lit(0.1)})
-    links = spark.createDataFrame([("p", "c", "G1"), ("p", "e", "G2")], "peak_id string, cell_type string, symbol string")
+    links = spark.createDataFrame([("p", "c", "G1"), ("p", "e", "G2")], "peak_id string, cell_type string, symbol string").withColumn("chr", F.lit(2))
+    assert joins.caqtl_to_gene(variants, links, same_chr=True).count() == 0
     assert [r["symbol"] for r in joins.caqtl_to_gene(variants, links).collect()] == ["G1"]
     other = joins.caqtl_to_gene(variants, links, same_cell_type=False).collect()
     assert sorted((r["symbol"], r["link_cell_type"]) for r in other) == [("G1", "c"), ("G2", "e")]
@@ -87,3 +88,21 @@ def test_variant_join_prunes_partitions_of_the_other_side(spark, folder):
     filters = re.findall(r"PartitionFilters: \[(.*?)\]", plan_of(joined))
     assert len(filters) == 2 and all("= 3)" in f for f in filters)
     assert joins.annotate_variants(stored.drop("rsid"), stored.filter("pos < 5"), ["rsid"], "left").count() == 50
+
+
+def test_links_of_one_gene_prune_the_chromosomes_of_the_credible_sets(spark, folder):
+    one = spark.range(1_000).select(
+        (F.col("id") % 20).alias("chr"), F.col("id").alias("pos"), F.concat(F.lit("p"), F.col("id") % 100).alias("trait"),
+        *[F.lit(v).alias(n) for n, v in {"data_type": "caQTL", "cell_type": "c", "dataset": "d", "cs_id": "c", "ref": "A", "alt": "G"}.items()],
+        F.lit(0.5).alias("pip"),
+    )
+    one.write.partitionBy("chr").parquet(f"{folder}/cs")
+    peaks = spark.range(100).select(
+        F.concat(F.lit("p"), "id").alias("peak_id"), F.lit("c").alias("cell_type"), (F.col("id") % 20).alias("chr"),
+        F.concat(F.lit("G"), "id").alias("symbol"),
+    )
+    peaks.write.parquet(f"{folder}/links")
+    stored, links = spark.read.parquet(f"{folder}/cs"), spark.read.parquet(f"{folder}/links").filter("symbol = 'G7'")
+    found = joins.caqtl_to_gene(stored, links, same_chr=True)
+    assert "dynamicpruning" in plan_of(found)
+    assert found.count() == 10 and {r["chr"] for r in found.collect()} == {7}

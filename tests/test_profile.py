@@ -131,3 +131,12 @@ def test_other_lookups(spark):
     genes = spark.createDataFrame([("g", [1, 2], ["a", None]), ("h", [], [])], "symbol string, gene_group_ids array<long>, gene_group_names array<string>")
     assert [r["symbol"] for r in lookups.genes_outside_group(genes, "b").collect()] == ["g", "h"]
     assert [r["symbol"] for r in lookups.genes_outside_group(genes, "a").collect()] == ["h"]
+
+
+def test_regions_include_both_ends(spark):
+    sites = spark.createDataFrame([(1, p) for p in (99, 100, 200, 201)] + [(2, 150)], "chr long, pos long")
+    assert [r["pos"] for r in lookups.in_region(sites, 1, 100, 200, "pos").collect()] == [100, 200]
+    peaks = spark.createDataFrame([(1, 0, 99), (1, 0, 100), (1, 199, 300), (1, 200, 300)], "chr long, peak_start long, peak_end long")
+    assert [tuple(r)[1:] for r in lookups.peaks_in_region(peaks, 1, 100, 200).collect()] == [(0, 100), (199, 300)]
+    spans = spark.createDataFrame([(1, 10, 99), (1, 10, 100), (1, 200, 300), (1, 201, 300), (1, 1, 999)], "chr long, a long, b long")
+    assert lookups.in_region(spans, 1, 100, 200, "a", "b").count() == 3
