@@ -42,7 +42,7 @@ def _combinations(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     stored = [c for c in columns if c not in sources]
     stored += [c for name in columns for c in sources.get(name, [])]
     reduced = df.select(*dict.fromkeys(stored)).distinct()
-    return derive(table, reduced, columns).select(*columns)
+    return derive(table, reduced, columns).select(*dict.fromkeys(columns))
 
 
 def allowed_values(table: str, df: DataFrame, columns: list[str]) -> DataFrame:

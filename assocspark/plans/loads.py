@@ -120,7 +120,7 @@ def group_load(t: Inputs):
     loaded = text.load_group(
         t.spark, "hla_associations", [(first, {"dataset": "first"}), (rest, {"dataset": "rest"})]
     )
-    tables.write_table(loaded, "hla_associations", f"{base}/table")
+    tables.write_table(loaded, "hla_associations", f"{base}/table", sampled=False)
     return tables.read_table(
         t.spark, "hla_associations", f"{base}/table", ["gene", "allele", "phenotype", "mlogp", "dataset"]
     )

@@ -63,7 +63,7 @@ def _save(df: DataFrame, table: str, path: str, mode: str) -> None:
     writer.parquet(path)
 
 
-def laid_out(df: DataFrame, table: str, partitions: int | None = None) -> DataFrame:
+def laid_out(df: DataFrame, table: str, partitions: int | None = None, sampled: bool = True) -> DataFrame:
     """Range-partition by chromosome, cluster columns and position; sort inside partitions.
 
     Chromosome alone gives some 25 keys of very different size. With the cluster columns and
@@ -73,15 +73,27 @@ def laid_out(df: DataFrame, table: str, partitions: int | None = None) -> DataFr
 
     Without ``partitions`` Spark starts from its shuffle partitions and merges small ones; for a
     very large load give a number that makes each some hundred megabytes.
+
+    Finding the ranges takes a pass over the input of its own. With ``sampled=False`` there is
+    none: rows go by hash of chromosome and first cluster column, and adaptive execution cuts
+    partitions that come out large and merges small ones. That suits input that is costly to
+    read, at the price of files that overlap more in the other columns.
     """
     order = _order(df, table)
+    if not sampled:
+        return df.hint("rebalance", *order[:2]).sortWithinPartitions(*order)
     cut = [*order, "_split"] if partitions is None else [partitions, *order, "_split"]
     tagged = df.withColumn("_split", F.spark_partition_id())
     return tagged.repartitionByRange(*cut).drop("_split").sortWithinPartitions(*order)
 
 
 def write_table(
-    df: DataFrame, table: str, path: str, write_mode: str = "WRITE_TRUNCATE", partitions: int | None = None
+    df: DataFrame,
+    table: str,
+    path: str,
+    write_mode: str = "WRITE_TRUNCATE",
+    partitions: int | None = None,
+    sampled: bool = True,
 ) -> int:
     """Write rows of a registered table and return how many this write added.
 
@@ -93,7 +105,7 @@ def write_table(
     if write_mode == "WRITE_EMPTY" and _has_rows(df.sparkSession, table, path):
         raise ValueError(f"{path} already holds rows")
     counted = Observation()
-    out = laid_out(described(df, table), table, partitions).observe(counted, F.count(F.lit(1)).alias("rows"))
+    out = laid_out(described(df, table), table, partitions, sampled).observe(counted, F.count(F.lit(1)).alias("rows"))
     _save(out, table, path, WRITE_MODES[write_mode])
     return counted.get["rows"]
 

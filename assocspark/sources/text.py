@@ -58,9 +58,8 @@ def read_fields(
     }
     if block_gzip:
         lines = read_bgzf_lines(spark, paths, skip_leading_rows)
-        return lines.select(F.from_csv("value", text.simpleString()[7:-1].replace(":", " "), options).alias("r")).select(
-            "r.*"
-        )
+        ddl = ", ".join(f"`{name}` string" for name in text.names)
+        return lines.select(F.from_csv("value", ddl, options).alias("fields")).select("fields.*")
     reader = spark.read.schema(text).options(
         **options, multiLine=quoted_newlines, header=skip_leading_rows == 1, enforceSchema=True
     )

@@ -72,6 +72,32 @@ def test_equal_rows_are_cut_too(spark):
     assert len(parts) > 4 and sum(p["count"] for p in parts) == 4_000
 
 
+def test_unsampled_layout_reads_the_input_once_and_cuts_a_hot_data_set(spark, folder):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8192",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1024",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    reads = spark.sparkContext.accumulator(0)
+    try:
+        wide = coloc(spark, 8_000).withColumn("trait", F.sha2(F.col("pos").cast("string"), 256))
+
+        def count(batches):
+            for batch in batches:
+                reads.add(len(batch))
+                yield batch
+
+        counted = wide.mapInPandas(count, wide.schema)
+        assert tables.write_table(counted, "coloc_credsets", f"{folder}/t", sampled=False) == 8_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert reads.value == 8_000
+    assert len(glob.glob(f"{folder}/t/chr=1/*.parquet")) > 4
+    assert tables.read_table(spark, "coloc_credsets", f"{folder}/t").select("pos").distinct().count() == 8_000
+
+
 def test_replacing_keeps_other_and_unnamed_data_sets(spark, folder):
     old = coloc(spark, 3, "QTD1").union(coloc(spark, 2, "qtd2")).union(coloc(spark, 1, "A")).union(coloc(spark, 4, "gone"))
     tables.write_table(old, "coloc_credsets", f"{folder}/v1")
