@@ -109,9 +109,12 @@ FROM credible_sets WHERE most_severe IS NOT NULL""",
 SELECT chr, pos, ref, alt, variant, CASE WHEN pos % 2 = 0 THEN 'marderstein_chrombpnet' ELSE 'marderstein_flare' END AS dataset,
   CASE WHEN pos % 2 = 0 THEN 'chrombpnet' ELSE 'flare' END AS model, AF - 5e-1 AS score, AF > 8e-1 AS is_significant
 FROM variant_annotation""",
-    "mpra": """
-SELECT v.chr, v.pos, v.variant, v.ref, v.alt, c.cell_line, CASE WHEN v.pos % 7 = 0 THEN NULL ELSE v.pos % 5 = 0 END AS emVar, v.AF - 5e-1 AS log2Skew, 'siraj_mpra' AS dataset
-FROM variant_annotation v CROSS JOIN (SELECT 'meta' AS cell_line UNION ALL SELECT 'K562' UNION ALL SELECT 'HEPG2') c""",
+    "mpra": " UNION ALL ".join(
+        f"""
+SELECT chr, pos, variant, ref, alt, '{line}' AS cell_line, CASE WHEN pos % 7 = 0 THEN NULL ELSE pos % 5 = 0 END AS emVar, AF - 5e-1 AS log2Skew, 'siraj_mpra' AS dataset
+FROM variant_annotation"""
+        for line in ("meta", "K562", "HEPG2")
+    ),
     "hla_associations": """
 SELECT CAST(6 AS BIGINT) AS chr, 30000000 + o_custkey % 3 * 1000000 AS pos,
   CASE o_custkey % 3 WHEN 0 THEN 'HLA-A' WHEN 1 THEN 'HLA-B' ELSE 'HLA-DQB1' END AS gene,
