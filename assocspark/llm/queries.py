@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assocspark.llm import minhash
+from assocspark.llm import langid, minhash, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,10 @@ def query(name: str, sql: str | None = None):
 @query("op7_minhash_near_dedup")
 def near_dedup(table) -> DataFrame:
     return minhash.near_duplicates(table("documents"))
+
+
+@query("op5_language_id")
+def language_id(table) -> DataFrame:
+    found = langid.identify(table("documents"), ["doc_id"])
+    held_out = (text.fold("doc_id", 3) == 1).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
