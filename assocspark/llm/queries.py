@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assocspark.llm import langid, minhash, text
+from assocspark.llm import langid, minhash, packing, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +38,8 @@ def language_id(table) -> DataFrame:
     found = langid.identify(table("documents"), ["doc_id"])
     held_out = (text.fold("doc_id", 3) == 1).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+@query("op6_best_fit_packing")
+def best_fit_packing(table) -> DataFrame:
+    return packing.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))
