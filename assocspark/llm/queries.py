@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assocspark.llm import langid, minhash, packing, text
+from assocspark.llm import langid, line_sql, linededup, minhash, packing, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,9 @@ def language_id(table) -> DataFrame:
 @query("op6_best_fit_packing")
 def best_fit_packing(table) -> DataFrame:
     return packing.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_line_dedup", line_sql.SQL)
+def line_dedup(table) -> DataFrame:
+    found = linededup.dedup_lines(table("documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "removed", F.sha2("text", 256).alias("text_sha256"))
