@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocspark.llm import langid, line_sql, linededup, minhash, packing, text
+from assocspark.llm import decontaminate, langid, line_sql, linededup, minhash, packing, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def best_fit_packing(table) -> DataFrame:
 def line_dedup(table) -> DataFrame:
     found = linededup.dedup_lines(table("documents"))
     return found.select("doc_id", "n_lines", "n_removed", "removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op1_decontamination")
+def decontamination(table) -> DataFrame:
+    return decontaminate.contaminated(table("documents"), table("benchmark"))

@@ -1,25 +1,67 @@
-"""A corpus pipeline over ``documents``: each stage works on all that the one before it kept."""
+"""A corpus pipeline over ``documents``: each stage works on all that the one before it kept.
+
+Columns stay those of ``documents``; a stage that changes the text also changes ``n_chars``. The last stage
+returns packed pieces instead.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assocspark.llm import minhash
+from assocspark.llm import decontaminate, langid, linededup, minhash, packing, text
 from assocspark.llm.store import ship, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+LEAST_SCORE = 0.5
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a letter or of no clear language (calibrated probability below LEAST_SCORE)."""
+    ship(spark)
+    model = langid.train(docs.where(text.fold("doc_id", 3) != 1))
+    found = langid.predict(docs.select(COLUMNS), model, COLUMNS)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(COLUMNS)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut later repeats of runs of lines; a document that is nothing but repeats goes."""
+    ship(spark)
+    found = linededup.dedup_lines(docs.select(COLUMNS))
+    found = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    chars = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast("long")
+    return found.withColumn("n_chars", chars).select(COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates; rows without an id are kept."""
     ship(spark)
     gone = minhash.near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(COLUMNS)
+    return docs.select(COLUMNS).join(gone.distinct(), "doc_id", "left_anti").select(COLUMNS)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a passage of ``benchmark``, exactly or nearly."""
+    ship(spark)
+    return decontaminate.clean(docs.select(COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack what is left into sequences of at most 2048 tokens."""
+    ship(spark)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("near_duplicates", near_duplicate_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("line_dedup", line_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", benchmark_stage),
+    ("best_fit_packing", packing_stage),
+]
 
-# Register comparisons and the tokenizer have no SQL form; tests/llm compares run() with a brute-force version.
+# The trained model, the registers and the tokenizer have no SQL form; tests/llm checks run() by brute force.
 ORACLE_SQL: str | None = None
 
 
