@@ -8,9 +8,10 @@ similar enough are verified on their full sets. The chance that a pair at the th
 below one in 50,000, and falls steeply above it.
 
 Hot groups: documents with equal sets are one class, found by a digest. In a band bucket every class is
-first compared with one member only, so a bucket of n classes gives n-1 pairs; a second round compares
-just those members of a bucket that are still in different components. Pairs inside one component cannot
-change the result, so no link between different components is lost and no group is expanded into all pairs.
+first compared with one member only, so a bucket of n classes gives n-1 pairs. Classes that still share a
+bucket with another component are compared again, across components only and only if they share one of the
+rare shingles that similar sets must share. Pairs inside one component cannot change the result, so no link
+between different components is lost and no group is expanded into all pairs.
 
 Defined cases: NULL, empty and blank texts have no shingles, stand alone and are kept. Rows that repeat an
 id are classed by their own texts. A NULL id never names a component while another id can; alone, it is
@@ -36,6 +37,8 @@ ROWS = REGISTERS // BANDS
 BASE = 1.01  # spacing of the register scale
 TOP = 4_000  # registers are truncated to 0 .. TOP + 1
 RATE = 20.0
+FILTER_BITS = 24
+CELLS = 1 << 18
 SLACK = 0.17  # estimates this far below the threshold are still verified: over four standard errors
 
 _SKETCH = "doc_id long, n_shingles long, class long, digest binary, registers binary"
@@ -150,30 +153,45 @@ def _promising(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
     return both.select("a", "b", "registers_a", "registers_b", "size_a", "size_b").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    chosen = classes.join(wanted, "class", "left_semi").select("class", F.col("doc_id").alias("id"))
-    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("id"))).drop("doc_id", "id")
+def _filter_words(wanted: DataFrame) -> np.ndarray:
+    """A filter over classes: bit ``class % 2**FILTER_BITS`` is set for each wanted class. Its size is fixed."""
+    places = wanted.select(F.col("class").bitwiseAND((1 << FILTER_BITS) - 1).alias("place"))
+    bits = F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits")
+    words = places.groupBy(F.expr("shiftright(place, 6)").alias("word")).agg(bits).toArrow()
+    found = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    found[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return found.view(np.uint64)
+
+
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """class, shingles (sorted hashes) of the wanted classes, from one scan of the texts."""
+    words = _filter_words(wanted)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text.slices(batch, "text", 2 << 20):
                 values, begin = text.distinct_runs(*text.shingles(part.column("text"), WORDS))
-                same = text.span_hashes(values, begin[:-1], begin[1:]).view(np.int64) == part.column("class").to_numpy()
-                out = [part.column("class"), text.blobs(values, begin)]
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(same)) for c in out], names=["class", "shingles"])
+                own = text.span_hashes(values, begin[:-1], begin[1:])
+                place = own & np.uint64((1 << FILTER_BITS) - 1)
+                hit = pa.array((words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1)
+                out = [part.column("doc_id").cast(pa.int64()), pa.array(own.view(np.int64)), text.blobs(values, begin)]
+                yield pa.RecordBatch.from_arrays([c.filter(hit) for c in out], names=["id", "class", "shingles"])
+
+    found = docs.select("doc_id", "text").mapInArrow(run, "id long, class long, shingles binary")
+    named = classes.join(wanted.select("class"), "class", "left_semi").select("class", "doc_id")
+    same = F.col("id").eqNullSafe(F.col("doc_id"))  # one document of each class, others are exact copies
+    found = found.join(named, "class").where(same).select("class", "shingles")
+    return stored(found.dropDuplicates(["class"]), "sets")
 
-    # a row that only shares its id with the class has another set and is dropped above
-    full = texts.select("class", "text").mapInArrow(sets, "class long, shingles binary")
-    full = stored(full.dropDuplicates(["class"]), "sets")
-    side = lambda x: full.select(F.col("class").alias(x), F.col("shingles").alias(f"shingles_{x}"))
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs whose full shingle sets are similar enough."""
+    side = lambda x: sets.select(F.col("class").alias(x), F.col("shingles").alias(f"shingles_{x}"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = batch.column("shingles_a"), batch.column("shingles_b")
             keep = []
-            for x, y in zip(a, b, strict=True):
+            for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= threshold * (len(x) + len(y) - common))
@@ -182,6 +200,39 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long")
 
 
+def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
+    """bucket, class: the shingles of each set that a similar set must share one of.
+
+    Under any common order of shingles, two sets with the threshold's similarity share one among the first
+    n - ceil(threshold * n) + 1 of each. The order here is by frequency, rarest first, counted in hash cells.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for value in batch.column("shingles"):
+                cells += np.bincount((np.frombuffer(value.as_buffer(), np.uint64) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        at = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(cells[at])], names=["cell", "n"])
+
+    counted = sets.select("shingles").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(CELLS, np.int64)  # one number for each cell, whatever the input
+    often[counted.column("cell").to_numpy()] = counted.column("n").to_numpy()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sizes = [np.zeros(0, np.uint64)], []
+            for value in batch.column("shingles"):
+                own = np.frombuffer(value.as_buffer(), np.uint64)
+                size = len(own) - (threshold * len(own) + 99) // 100 + 1
+                keys.append(own[np.lexsort((own, often[(own % np.uint64(CELLS)).astype(np.int64)]))[:size]])
+                sizes.append(size)
+            kept = np.repeat(batch.column("class").to_numpy(), sizes)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(kept)], names=["bucket", "class"])
+
+    return sets.mapInArrow(run, "bucket long, class long")
+
+
 def _stars(buckets: DataFrame) -> DataFrame:
     """Each class paired with one member of each of its buckets: the one that meets most others in its buckets."""
     mass = buckets.groupBy("class").agg(F.sum("members").alias("mass"))
@@ -195,12 +246,16 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def _crossing(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes that share a bucket but not a component."""
+def _placed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """bucket, class, component of the buckets that hold more than one component."""
     placed = buckets.select("bucket", "class").join(labels, "class", "left")
     placed = placed.select("bucket", "class", F.coalesce("component", "class").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.where("low != high").select("bucket"), "bucket")
+    return placed.join(mixed.where("low != high").select("bucket"), "bucket")
+
+
+def _crossing(placed: DataFrame) -> DataFrame:
+    """Pairs of classes that share a bucket but not a component."""
     others = placed.select("bucket", F.col("component").alias("other")).distinct()
     wanted = placed.join(others, "bucket").where("component < other").select("bucket", F.col("class").alias("x"), "other")
     right = placed.select("bucket", F.col("class").alias("y"), F.col("component").alias("other"))
@@ -244,12 +299,17 @@ def links(docs: DataFrame, rows: DataFrame, threshold: int = 75) -> tuple[DataFr
     classes = stored(classes, "classes")
     buckets = stored(_buckets(classes), "buckets")
     tried = stored(_promising(_stars(buckets), classes, threshold), "stars")
-    found = stored(_verified(tried, classes, docs, threshold), "links")
-    labels = components(found)
-    rest = _crossing(buckets, labels).join(tried, ["a", "b"], "left_anti")
+    ends = tried.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    found = stored(_verified(tried, _sets(docs, classes, ends), threshold), "links")
+    labels = stored(components(found), "labels")
+    left = stored(_placed(buckets, labels).select("class").distinct(), "left")
+    prefixes = stored(_prefixes(_sets(docs, classes, left), threshold), "prefixes")
+    placed = stored(_placed(prefixes, labels), "placed")
+    rest = _crossing(placed).join(tried, ["a", "b"], "left_anti")
     rest = stored(_promising(rest, classes, threshold), "crossing")
-    if not rest.isEmpty():
-        found = stored(found.unionByName(_verified(rest, classes, docs, threshold)), "all_links")
+    ends = stored(rest.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
+    if not ends.isEmpty():
+        found = stored(found.unionByName(_verified(rest, _sets(docs, classes, ends), threshold)), "all_links")
         labels = components(found)
     return found, labels
 

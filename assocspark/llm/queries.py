@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocspark.llm import decontaminate, langid, line_sql, linededup, minhash, packing, text
+from assocspark.llm import decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def line_dedup(table) -> DataFrame:
 @query("op1_decontamination")
 def decontamination(table) -> DataFrame:
     return decontaminate.contaminated(table("documents"), table("benchmark"))
+
+
+@query("op9_fingerprints")
+def document_fingerprints(table) -> DataFrame:
+    return fingerprint.edited_pairs(table("documents"))
