@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocspark.llm import decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, quality, text
+from assocspark.llm import brown, decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, quality, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def quality_scores(table) -> DataFrame:
     docs, held_out = table("documents"), text.fold("doc_id", 5) == 0
     found = quality.score(docs, quality.train(docs, table("labels").where(~held_out)))
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op4_lm_scoring")
+def language_model_scores(table) -> DataFrame:
+    return brown.score(table("documents"), text.fold("doc_id", 10) == 0)
