@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocspark.llm import brown, decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, quality, text
+from assocspark.llm import brown, decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, pii, quality, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,9 @@ def quality_scores(table) -> DataFrame:
 @query("op4_lm_scoring")
 def language_model_scores(table) -> DataFrame:
     return brown.score(table("documents"), text.fold("doc_id", 10) == 0)
+
+
+@query("op8_pii")
+def personal_data(table) -> DataFrame:
+    docs = table("documents")
+    return pii.find(docs, pii.train(docs)).drop("redacted")
