@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocspark.llm import brown, decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, pii, quality, text
+from assocspark.llm import brown, decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, pii, quality, secrets, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def language_model_scores(table) -> DataFrame:
 def personal_data(table) -> DataFrame:
     docs = table("documents")
     return pii.find(docs, pii.train(docs)).drop("redacted")
+
+
+@query("op2_secret_scan")
+def secret_scan(table) -> DataFrame:
+    docs = table("documents")
+    return secrets.scan(docs, secrets.train(docs))
