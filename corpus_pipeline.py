@@ -14,7 +14,7 @@ from assocspark.llm import decontaminate, langid, linededup, minhash, packing, t
 from assocspark.llm.store import ship, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
