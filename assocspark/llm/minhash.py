@@ -201,7 +201,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
-    """bucket, class: the shingles of each set that a similar set must share one of.
+    """bucket, class, n, place: the shingles of each set that a similar set must share one of, and their places.
 
     Under any common order of shingles, two sets with the threshold's similarity share one among the first
     n - ceil(threshold * n) + 1 of each. The order here is by frequency, rarest first, counted in hash cells.
@@ -221,16 +221,19 @@ def _prefixes(sets: DataFrame, threshold: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes = [np.zeros(0, np.uint64)], []
+            keys, sizes, full = [np.zeros(0, np.uint64)], [], []
             for value in batch.column("shingles"):
                 own = np.frombuffer(value.as_buffer(), np.uint64)
                 size = len(own) - (threshold * len(own) + 99) // 100 + 1
                 keys.append(own[np.lexsort((own, often[(own % np.uint64(CELLS)).astype(np.int64)]))[:size]])
                 sizes.append(size)
-            kept = np.repeat(batch.column("class").to_numpy(), sizes)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(kept)], names=["bucket", "class"])
+                full.append(len(own))
+            sizes, full = np.array(sizes, np.int64), np.array(full, np.int64)
+            place = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            columns = (np.concatenate(keys).view(np.int64), np.repeat(batch.column("class").to_numpy(), sizes), np.repeat(full, sizes), place)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["bucket", "class", "n", "place"])
 
-    return sets.mapInArrow(run, "bucket long, class long")
+    return sets.mapInArrow(run, "bucket long, class long, n long, place long")
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
@@ -247,19 +250,29 @@ def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def _placed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """bucket, class, component of the buckets that hold more than one component."""
-    placed = buckets.select("bucket", "class").join(labels, "class", "left")
-    placed = placed.select("bucket", "class", F.coalesce("component", "class").alias("component"))
+    """The rows of buckets that hold more than one component, with the component of their class."""
+    placed = buckets.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return placed.join(mixed.where("low != high").select("bucket"), "bucket")
 
 
-def _crossing(placed: DataFrame) -> DataFrame:
-    """Pairs of classes that share a bucket but not a component."""
-    others = placed.select("bucket", F.col("component").alias("other")).distinct()
-    wanted = placed.join(others, "bucket").where("component < other").select("bucket", F.col("class").alias("x"), "other")
-    right = placed.select("bucket", F.col("class").alias("y"), F.col("component").alias("other"))
-    return _ordered(wanted.join(right, ["bucket", "other"]), "x", "y")
+def _crossing(placed: DataFrame, threshold: int) -> DataFrame:
+    """Pairs of classes of different components that share a prefix shingle and may be similar.
+
+    If a shingle at places i and j of sets of n and m shingles is the first one they share, they share at
+    most min(n - i, m - j), and need (n + m) * threshold / (100 + threshold). ``reach`` is what that leaves for
+    the other set's size; a component is first tried as a whole by its greatest reach and least size.
+    """
+    reach = 100 * F.col("n") - (100 + threshold) * F.col("place")
+    placed = placed.select("bucket", "class", "component", "n", reach.alias("reach"))
+    others = placed.groupBy("bucket", F.col("component").alias("other")).agg(F.max("reach").alias("far"), F.min("n").alias("least"))
+    fits = (F.col("component") < F.col("other")) & (F.col("far") >= threshold * F.col("n")) & (F.col("reach") >= threshold * F.col("least"))
+    left = placed.join(others, "bucket").where(fits)
+    left = left.select("bucket", "other", F.col("class").alias("x"), F.col("n").alias("n_x"), F.col("reach").alias("reach_x"))
+    right = placed.select("bucket", F.col("component").alias("other"), F.col("class").alias("y"), "n", "reach")
+    fits = (F.col("reach") >= threshold * F.col("n_x")) & (F.col("reach_x") >= threshold * F.col("n"))
+    fits &= 100 * F.least("n", "n_x") >= threshold * F.greatest("n", "n_x")
+    return _ordered(left.join(right, ["bucket", "other"]).where(fits), "x", "y")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -302,10 +315,10 @@ def links(docs: DataFrame, rows: DataFrame, threshold: int = 75) -> tuple[DataFr
     ends = tried.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     found = stored(_verified(tried, _sets(docs, classes, ends), threshold), "links")
     labels = stored(components(found), "labels")
-    left = stored(_placed(buckets, labels).select("class").distinct(), "left")
+    left = stored(_placed(buckets.select("bucket", "class"), labels).select("class").distinct(), "left")
     prefixes = stored(_prefixes(_sets(docs, classes, left), threshold), "prefixes")
     placed = stored(_placed(prefixes, labels), "placed")
-    rest = _crossing(placed).join(tried, ["a", "b"], "left_anti")
+    rest = _crossing(placed, threshold).join(tried, ["a", "b"], "left_anti")
     rest = stored(_promising(rest, classes, threshold), "crossing")
     ends = stored(rest.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "ends")
     if not ends.isEmpty():
