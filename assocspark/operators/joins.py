@@ -69,10 +69,11 @@ def trans_colocalization(
 ) -> DataFrame:
     """The other colocalizations. A lead without a readable position is neither cis nor trans."""
     pairs = _qtl_with_gene(colocalization, genes, data_type)
+    placed = F.col("hit2_pos").isNotNull() & F.col("gene_start").isNotNull() & F.col("gene_end").isNotNull()
     far = ~_near_gene(window)
     if match_chr:
         far = far | (F.col("hit2_chr") != F.col("gene_chr"))
-    return pairs.filter(far).drop("trait2", "gene_chr", "hit2_chr")
+    return pairs.filter(placed & far).drop("trait2", "gene_chr", "hit2_chr")
 
 
 def colocalized_members(colocalization: DataFrame, members: DataFrame, sides: tuple[int, ...] = (1, 2)) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assocspark.functions import clean
@@ -39,12 +39,26 @@ def colocalizations_of(colocalization: DataFrame, trait: str) -> DataFrame:
 
 
 def variants_in_list(df: DataFrame, variants: list[str]) -> DataFrame:
-    """Rows of some variants; their chromosomes are filtered too, which prunes partitions."""
-    chroms = {v.split(":")[0] for v in variants}
-    listed = F.col("variant").isin(*variants)
-    if all(c.isdecimal() for c in chroms):
-        listed = F.col("chr").isin(*sorted(map(int, chroms))) & listed
-    return df.filter(listed)
+    """Rows of some variants, given as chromosome:position:ref:alt with X, Y and M as text or code.
+
+    Rows are compared by their site, so an id is found however the ``variant`` column spells it. Chromosomes
+    and positions reach the scan: the first prune partitions, the second go against file statistics.
+    """
+    sites = [_site(v) for v in variants]
+    codes = [":".join(map(str, site)) for site in sites]
+    listed = F.concat_ws(":", "chr", "pos", "ref", "alt").isin(codes)
+    return df.filter(F.col("chr").isin(sorted({s[0] for s in sites})) & F.col("pos").isin(sorted({s[1] for s in sites})) & listed)
+
+
+def _site(variant: str) -> tuple[int, int, str, str]:
+    parts = variant.split(":")
+    if len(parts) != 4 or not parts[1].isdecimal():
+        raise ValueError(f"not a variant id: {variant!r}")
+    chrom = parts[0].removeprefix("chr")
+    code = clean.NAMED_CHROMOSOMES.get(chrom.upper(), int(chrom) if chrom.isdecimal() else None)
+    if code is None:
+        raise ValueError(f"not a chromosome: {variant!r}")
+    return code, int(parts[1]), parts[2], parts[3]
 
 
 def in_region(df: DataFrame, chrom: int, start: int, end: int, first: str, last: str | None = None) -> DataFrame:
@@ -119,18 +133,12 @@ def reporter_effects(mpra: DataFrame, cell_line: str) -> DataFrame:
     return mpra.filter(F.col("cell_line") == cell_line)
 
 
-def filter_by_resource(
-    df: DataFrame, rules: list[Rule], wanted: str, datasets: DataFrame | None = None, max_names: int = 1_000
-) -> DataFrame:
-    """Rows of one resource, with the filter rewritten to data set names.
+def filter_by_resource(df: DataFrame, rules: list[Rule], wanted: str) -> DataFrame:
+    """Rows of one resource.
 
-    A CASE over ``dataset`` cannot reach the parquet scan, a list of names can, and the tables
-    are sorted by data set. ``datasets`` is a frame with the known names, by default the table's
-    own. Where there are more than ``max_names`` names, the CASE itself is the filter.
+    The rules are applied to the distinct data set names, and the rows are kept by a semi join on
+    ``dataset``. Nothing runs before the query does; where the names turn out to be few, Spark broadcasts
+    them or filters the scan by them at run time.
     """
-    is_wanted: Column = resource_expr(rules, "dataset") == wanted
-    known = (datasets if datasets is not None else df).select("dataset").distinct().limit(max_names + 1).collect()
-    if len(known) > max_names:
-        return df.filter(is_wanted)
-    names = df.sparkSession.createDataFrame(known, "dataset string").filter(is_wanted).collect()
-    return df.filter(F.col("dataset").isin([row["dataset"] for row in names]))
+    names = df.select("dataset").distinct().filter(resource_expr(rules, "dataset") == wanted)
+    return df.join(names, "dataset", "left_semi").select(*df.columns)

@@ -33,8 +33,10 @@ def capped_flag(df: DataFrame, max_rows: int = DEFAULT_ROWS) -> tuple[DataFrame,
 
 
 def sample_rows(df: DataFrame, limit: int = 10) -> DataFrame:
-    """Any few rows, never more than 100."""
-    return df.limit(max(0, min(limit, MAX_SAMPLE_ROWS)))
+    """Any few rows, between 1 and 100."""
+    if not 1 <= limit <= MAX_SAMPLE_ROWS:
+        raise ValueError(f"limit must lie between 1 and {MAX_SAMPLE_ROWS}")
+    return df.limit(limit)
 
 
 def _quoted(text: Column) -> Column:

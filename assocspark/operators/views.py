@@ -8,14 +8,14 @@ from assocspark.functions import clean
 from assocspark.functions.resources import CONSTANT_RESOURCES, resource
 from assocspark.schemas import TABLES
 
-# Derived columns of each view, in view order; a frequency column after "maf:".
+# Derived columns of each view, in view order.
 DERIVED = {
-    "credible_sets": ("variant", "maf:aaf", "resource"),
+    "credible_sets": ("variant", "maf", "resource"),
     "colocalization": ("resource1", "resource2"),
     "coloc_credsets": ("variant", "resource"),
     "exome_variant_results": ("variant", "resource"),
     "gene_burden_results": ("resource",),
-    "asm_qtl": ("variant", "maf:af", "resource"),
+    "asm_qtl": ("variant", "maf", "resource"),
     "gene_annotations": ("resource",),
     "open_chromatin": ("resource",),
     "variant_effect": ("resource",),
@@ -25,20 +25,22 @@ DERIVED = {
     "hla_associations": ("resource",),
 }
 
+# The column with the allele frequency that ``maf`` is derived from.
+FREQUENCY = {"credible_sets": "aaf", "asm_qtl": "af"}
+
 
 def derived_names(table: str) -> list[str]:
-    return [d.split(":")[0] for d in DERIVED[table]]
+    return list(DERIVED[table])
 
 
 def derived_from(table: str) -> dict[str, list[str]]:
     """Stored columns behind each derived column; it is NULL exactly where one of them is."""
     sources = {}
-    for item in DERIVED[table]:
-        name, _, frequency = item.partition(":")
+    for name in DERIVED[table]:
         if name == "variant":
             sources[name] = ["chr", "pos", "ref", "alt"]
         elif name == "maf":
-            sources[name] = [frequency]
+            sources[name] = [FREQUENCY[table]]
         else:
             sources[name] = [] if table in CONSTANT_RESOURCES else [name.replace("resource", "dataset")]
     return sources

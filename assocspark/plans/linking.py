@@ -43,7 +43,7 @@ def caqtl_of_genes(t: Inputs):
     return joins.caqtl_to_gene(t("credible_sets"), links, same_chr=True)
 
 
-_LEADS = """(SELECT *, CASE WHEN hit2 LIKE '%:%' THEN CAST(split_part(hit2, ':', 2) AS BIGINT) END AS hit2_pos,
+_LEADS = """(SELECT *, CASE WHEN hit2 LIKE '%:%' THEN TRY_CAST(split_part(hit2, ':', 2) AS BIGINT) END AS hit2_pos,
   CASE WHEN hit2 LIKE '%:%' THEN CAST(split_part(hit2, ':', 1) AS BIGINT) END AS hit2_chr FROM colocalization WHERE data_type2 = 'pQTL')"""
 _COLOC = """SELECT c.dataset1, c.dataset2, c.trait1, a.symbol, c.hit1, c.hit2, c.hit2_pos, c.PP_H4_abf, a.gene_start, a.gene_end"""
 _NEAR = f"c.hit2_pos BETWEEN a.gene_start - {_WINDOW} AND a.gene_end + {_WINDOW}"
@@ -79,20 +79,20 @@ def trans_coloc(t: Inputs):
 @query(
     "trans_coloc_other_chr",
     "colocalization genes_placed",
-    f"{_COLOC} FROM {_LEADS} c JOIN genes_placed a ON c.trait2 = a.symbol WHERE c.hit2_chr <> a.chr OR NOT ({_NEAR})",
+    f"""{_COLOC} FROM {_LEADS} c JOIN genes_placed a ON c.trait2 = a.symbol WHERE (c.hit2_chr <> a.chr OR NOT ({_NEAR}))
+  AND c.hit2_pos IS NOT NULL AND a.gene_start IS NOT NULL AND a.gene_end IS NOT NULL""",
 )
 def trans_coloc_other_chr(t: Inputs):
     return joins.trans_colocalization(t("colocalization"), t("genes_placed"), _WINDOW, match_chr=True)
 
 
 _MEMBER = """SELECT c.dataset1, c.cs1_id, c.dataset2, c.cs2_id, c.PP_H4_abf, v.chr, v.pos, v.ref, v.alt, v.pip, {side} AS side
-FROM colocalization c JOIN coloc_credsets v ON v.dataset = c.dataset{side} AND v.cs_id = c.cs{side}_id WHERE c.PP_H4_abf > 9.9e-1"""
+FROM colocalization c JOIN coloc_credsets v ON v.dataset = c.dataset{side} AND v.cs_id = c.cs{side}_id"""
 
 
 @query("coloc_members", "colocalization coloc_credsets", _MEMBER.format(side=1) + " UNION ALL " + _MEMBER.format(side=2))
 def coloc_members(t: Inputs):
-    strong = t("colocalization").filter("PP_H4_abf > 9.9e-1")
-    return joins.colocalized_members(strong, t("coloc_credsets"))
+    return joins.colocalized_members(t("colocalization"), t("coloc_credsets"))
 
 
 @query(
@@ -110,10 +110,10 @@ def annotate_variants(t: Inputs):
     "effects_of_variants",
     "variant_annotation variant_effect",
     """SELECT a.chr, a.variant, a.rsid, e.model, e.score, e.is_significant FROM variant_annotation a
-JOIN variant_effect e ON e.chr = a.chr AND e.variant = a.variant WHERE e.score < -4.5e-1""",
+JOIN variant_effect e ON e.chr = a.chr AND e.variant = a.variant""",
 )
 def effects_of_variants(t: Inputs):
-    effects = t("variant_effect").filter("score < -4.5e-1")
+    effects = t("variant_effect")
     variants = t("variant_annotation").select("chr", "variant", "rsid")
     return joins.annotate_variants(variants, effects, ["model", "score", "is_significant"], keys=("chr", "variant"))
 
@@ -149,11 +149,11 @@ def region_overlap(t: Inputs):
     "cis_credible_sets",
     "credible_sets genes_placed",
     """SELECT v.chr, v.pos, v.dataset, v.cs_id, v.pip, g.symbol, g.gene_start, g.gene_end FROM credible_sets v
-JOIN genes_placed g ON g.chr = v.chr AND v.pos BETWEEN g.gene_start - 5000 AND g.gene_end + 5000 WHERE v.pip > 9e-1""",
+JOIN genes_placed g ON g.chr = v.chr AND v.pos BETWEEN g.gene_start - 5000 AND g.gene_end + 5000""",
 )
 def cis_credible_sets(t: Inputs):
-    likely = t("credible_sets").filter("pip > 9e-1").select("chr", "pos", "dataset", "cs_id", "pip")
-    return intervals.variants_near_genes(likely, t("genes_placed"), 5_000)
+    variants = t("credible_sets").select("chr", "pos", "dataset", "cs_id", "pip")
+    return intervals.variants_near_genes(variants, t("genes_placed"), 5_000)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +87,7 @@ def gene_build_files(t: Inputs):
         paths[name] = f"{base}/{name}"
         t(name).write.options(sep=sep, header=True, escape='"').csv(paths[name])
     built = genes.build_from_files(
-        t.spark, *paths.values(), gencode_version="49", hgnc_version="2026-06-01", download_date="2026-06-02"
+        t.spark, *paths.values(), gencode_version="44", hgnc_version="2024-01-15", download_date="2024-02-20"
     )
     return results.stringify(built)
 
@@ -150,13 +152,14 @@ def write_modes(t: Inputs):
   UNION ALL SELECT * FROM credible_sets WHERE dataset = 'UKB_PPP' AND pip > 5e-1) GROUP BY dataset""",
 )
 def replace_rows(t: Inputs):
-    base, rows = t.scratch(), t("credible_sets")
-    tables.write_table(rows, "credible_sets", f"{base}/v1")
-    old = tables.read_table(t.spark, "credible_sets", f"{base}/v1")
+    """Each loader's rows are a partition; a new load replaces its own and reads no other."""
+    path, rows = f"{t.scratch()}/credible_sets", t("credible_sets")
     owned = tables.owned_rows(*tables.OWNED_DATASETS["fine_mapped"])
+    tables.replace_owned(tables.without_owned(rows, owned), "pseudo", "credible_sets", path)
+    tables.replace_owned(rows.filter(owned), "fine_mapped", "credible_sets", path)
     new = rows.filter((F.col("dataset") == "UKB_PPP") & (F.col("pip") > 0.5))
-    tables.replace_rows(old, owned, new, "credible_sets", f"{base}/v2")
-    replaced = tables.read_table(t.spark, "credible_sets", f"{base}/v2")
+    tables.replace_owned(new, "fine_mapped", "credible_sets", path)
+    replaced = tables.read_owned(t.spark, "credible_sets", path)
     return replaced.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"), F.sum("cs_size").alias("sizes"))
 
 
@@ -171,11 +174,12 @@ def truncate_keep_schema(t: Inputs):
     database = "run_" + base.rsplit("-", 1)[-1].replace("/", "_").lower()
     rows = t("gene_burden_results")
     t.spark.sql(f"CREATE DATABASE `{database}` LOCATION '{base}'")
-    tables.create_tables(t.spark, database, ["gene_burden_results"])
+    tables.create_tables(t.spark, database)
     tables.reload_table(rows, database, "gene_burden_results")
     tables.reload_table(rows.filter("dataset = 'genebass'"), database, "gene_burden_results")
     kept = t.spark.table(f"{database}.gene_burden_results")
-    described = all(f.metadata.get("comment") for f in kept.schema)
+    made = [t.spark.table(f"{database}.{name}").schema for name in TABLES]
+    described = all(f.metadata.get("comment") for schema in made for f in schema)
     return (
         kept.groupBy("dataset", "annotation")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -206,9 +210,17 @@ def rows_written(t: Inputs):
 
 @query(
     "required_violations",
-    "asm_qtl exome_variant_results",
-    """SELECT 'alt' AS column_name, count_if(alt IS NULL) AS n_null FROM asm_qtl
-UNION ALL SELECT 'ref', count_if(ref IS NULL) FROM asm_qtl UNION ALL SELECT 'rsid', count_if(rsid IS NULL) FROM asm_qtl""",
+    " ".join(TABLES),
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{column}' AS column_name, count(*) - count(\"{column}\") AS n_null FROM {name}"
+        for name, spec in TABLES.items()
+        for column in spec.required
+    ),
 )
 def required_violations(t: Inputs):
-    return profile.required_violations(t("asm_qtl"), ["ref", "alt", "rsid"])
+    """NULLs in the required columns of all tables."""
+    found = [
+        profile.required_violations(t(name), spec.required).select(F.lit(name).alias("table_name"), "column_name", "n_null")
+        for name, spec in TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, found)

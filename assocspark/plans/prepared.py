@@ -19,7 +19,7 @@ def chrom_sql(column: str) -> str:
 @prepared(
     "open_chromatin",
     "open_chromatin_raw",
-    f"SELECT {chrom_sql('chrom')} AS chr, peak_start, peak_end, dataset, tissue, score FROM open_chromatin_raw",
+    f"SELECT {chrom_sql('chrom')} AS chr, * EXCLUDE (chrom) FROM open_chromatin_raw",
 )
 def open_chromatin(t: Inputs):
     raw = t("open_chromatin_raw")
@@ -29,14 +29,13 @@ def open_chromatin(t: Inputs):
 @prepared(
     "peak_to_gene",
     "peak_to_gene_raw",
-    f"""SELECT {chrom_sql('chrom')} AS chr, peak_start, peak_end, peak_id, symbol,
-  substr(cell_type, 20) AS cell_type, dataset FROM peak_to_gene_raw""",
+    f"""SELECT {chrom_sql('chrom')} AS chr, * EXCLUDE (chrom) REPLACE (substr(cell_type, 20) AS cell_type) FROM peak_to_gene_raw""",
 )
 def peak_to_gene(t: Inputs):
     raw = t("peak_to_gene_raw")
     return raw.select(
-        clean.chromosome_code("chrom").alias("chr"), "peak_start", "peak_end", "peak_id", "symbol",
-        clean.strip_cell_type("cell_type").alias("cell_type"), "dataset",
+        clean.chromosome_code("chrom").alias("chr"),
+        *[clean.strip_cell_type(c).alias(c) if c == "cell_type" else c for c in raw.columns if c != "chrom"],
     )
 
 
@@ -63,7 +62,7 @@ def lineage_pairs(t: Inputs):
     CAST(CASE replace(g.chrom, 'chr', '') WHEN 'X' THEN '23' WHEN 'Y' THEN '24' ELSE replace(g.chrom, 'chr', '') END AS BIGINT) AS chr,
     CAST(g.gene_start AS BIGINT) AS gene_start, CAST(g.gene_end AS BIGINT) AS gene_end, g.gene_strand AS strand, h.locus_type,
     coalesce(l.ids, '[]') AS gene_group_ids, coalesce(l.names, '[]') AS gene_group_names,
-    '49' AS gencode_version, '2026-06-01' AS hgnc_version, '2026-06-02' AS download_date
+    '44' AS gencode_version, '2024-01-15' AS hgnc_version, '2024-02-20' AS download_date
   FROM hgnc h
   LEFT JOIN gencode g ON split_part(g.gene_id, '.', 1) = split_part(h.ensembl_gene_id, '.', 1)
   LEFT JOIN (SELECT gene_key, '[' || string_agg(CAST(family_id AS VARCHAR), ', ' ORDER BY family_id) || ']' AS ids,
@@ -74,7 +73,7 @@ def lineage_pairs(t: Inputs):
 def gene_annotations(t: Inputs):
     return genes.build_genes(
         t("hgnc"), t("gencode"), t("gene_has_family"), t("hierarchy_closure"), t("family"),
-        gencode_version="49", hgnc_version="2026-06-01", download_date="2026-06-02",
+        gencode_version="44", hgnc_version="2024-01-15", download_date="2024-02-20",
     )
 
 

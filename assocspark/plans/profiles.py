@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assocspark.functions.resources import rules_for
 from assocspark.operators import profile, views
-from assocspark.plans.projections import resource_sql, view_sql
+from assocspark.plans.projections import EXPECTED, resource_sql, rule_sql, view_sql
 from assocspark.plans.registry import Inputs, query
 from assocspark.schemas import DERIVED_COMMENTS, TABLES
 
@@ -77,19 +80,26 @@ def compact_values_by(t: Inputs):
     return profile.compact_values_by(values, ["qtd"])
 
 
+_SIDES = [(name, d) for name in EXPECTED for d in (("dataset1", "dataset2") if name == "colocalization" else ("dataset",))]
+
+
 @query(
     "mapping_audit",
-    "credible_sets",
-    f"""SELECT dataset, n_rows, resource, CASE WHEN lower(dataset) LIKE 'qtd%' OR lower(dataset) = 'xx' THEN '*' ELSE rule END AS rule,
-  lower(dataset) LIKE 'qtd%' AS is_fallback
-FROM (SELECT dataset, count(*) AS n_rows, {resource_sql('credible_sets')} AS resource,
-  CASE WHEN lower(dataset) LIKE 'finngen%mvp_ukbb%' THEN 'finngen%mvp_ukbb%' WHEN lower(dataset) LIKE 'finngen%ukbb%' THEN 'finngen%ukbb%'
-    WHEN lower(dataset) LIKE 'finngen%' THEN 'finngen%' WHEN lower(dataset) LIKE 'ukb%' THEN 'ukb%'
-    WHEN dataset LIKE 'Open%' THEN 'open_targets%' WHEN dataset LIKE 'COVID%' THEN 'covid19_hgi%' WHEN dataset = 'PGC' THEN 'pgc'
-    WHEN dataset LIKE 'PGC%' THEN 'pgc_scz%' ELSE lower(dataset) END AS rule FROM credible_sets GROUP BY dataset)""",
+    " ".join(EXPECTED),
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, '{d}' AS side, {d} AS dataset, count(*) AS n_rows, {resource_sql(name, d)} AS resource,
+  {rule_sql(name, d)} AS rule, {rule_sql(name, d)} = '*' AS is_fallback FROM {name} GROUP BY {d}"""
+        for name, d in _SIDES
+    ),
 )
 def mapping_audit(t: Inputs):
-    return profile.mapping_audit(t("credible_sets"), rules_for("credible_sets"))
+    """Data sets of all tables whose resource follows from rules, both sides of pairs."""
+    found = []
+    for name, side in _SIDES:
+        audit = profile.mapping_audit(t(name), rules_for(name), side).withColumnRenamed(side, "dataset")
+        audit = audit.withColumn("rule", F.lower("rule"))
+        found.append(audit.select(F.lit(name).alias("table_name"), F.lit(side).alias("side"), *audit.columns))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _dictionary_sql(table: str) -> str:
@@ -127,19 +137,15 @@ def data_dictionary(t: Inputs):
     return profile.data_dictionary({name: t(name) for name in TABLES}, categorical=_CATEGORICAL).drop("position")
 
 
-# Tables of which the stand-ins have every stored column.
-_WHOLE = ("credible_sets", "coloc_credsets", "gene_burden_results", "hla_associations")
-
-
 @query(
     "schema_registry",
-    " ".join(_WHOLE),
+    " ".join(TABLES),
     f"""SELECT view_name, column_name, type, mode, n_rows - n_null AS n_known, mode = 'REQUIRED' AND n_null > 0 AS violated
-FROM ({" UNION ALL ".join(_dictionary_sql(name) for name in _WHOLE)})""",
+FROM ({" UNION ALL ".join(_dictionary_sql(name) for name in TABLES)})""",
 )
 def schema_registry(t: Inputs):
     """Declared type and mode per column, and whether the data keeps to it."""
-    found = profile.data_dictionary({name: t(name) for name in _WHOLE})
+    found = profile.data_dictionary({name: t(name) for name in TABLES})
     violated = (F.col("mode") == "REQUIRED") & (F.col("n_null") > 0)
     known = (F.col("n_rows") - F.col("n_null")).alias("n_known")
     return found.select("view_name", "column_name", "type", "mode", known, violated.alias("violated"))

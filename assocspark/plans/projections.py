@@ -5,44 +5,83 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assocspark.functions import clean
-from assocspark.functions.resources import CONSTANT_RESOURCES, RULES, Rule, matched_rule, resource, resource_expr, rules_for
+from assocspark.functions.resources import CONSTANT_RESOURCES, Rule, matched_rule, resource, resource_expr, rules_for
 from assocspark.operators import results, views
 from assocspark.plans.prepared import chrom_sql
 from assocspark.plans.registry import Inputs, query
+from assocspark.schemas import TABLES
 
 VARIANT_SQL = "chr || ':' || pos || ':' || ref || ':' || alt"
 
 
-def resource_sql(table: str, dataset: str = "dataset", rules=RULES) -> str:
-    """Check SQL of a resource: the rules as rows, of which the first match is taken."""
-    if table in CONSTANT_RESOURCES:
-        return f"'{CONSTANT_RESOURCES[table]}'"
-    rows = ", ".join(
-        f"({i}, '{r.pattern.lower()}', '{r.resource}')"
-        for i, r in enumerate(rules_for(table, rules))
-        if r.pattern != "*"
-    )
-    if not rows:
-        return f"lower({dataset})"
-    hit = f"CASE WHEN contains(pattern, '%') THEN lower({dataset}) LIKE pattern ELSE lower({dataset}) = pattern END"
-    return (
-        f"coalesce((SELECT arg_min(resource_name, nr) FROM (VALUES {rows}) AS rule(nr, pattern, resource_name) WHERE {hit}), "
-        f"lower({dataset}))"
-    )
+_MAPPED = (
+    ("finngen%mvp_ukbb%", "finngen_mvp_ukbb"), ("finngen%ukbb%", "finngen_ukbb"), ("finngen%", "finngen"), ("ukb%", "ukbb"),
+    ("open_targets%", "open_targets"), ("covid19_hgi%", "covid_hgi"), ("pgc", "pgc"), ("pgc_scz%", "pgc"), ("gp2", "gp2"), ("iibdgc", "ibd_gwas"),
+)
+_EXOME = (("genebass", "genebass"), ("ibd_exome", "ibd_exome_2026"))
+
+# What each view is expected to make of a data set, first match first; other names in lower case. This is
+# written out here so that the check does not depend on the rules it checks.
+EXPECTED: dict[str, tuple[tuple[str, str], ...]] = {
+    "credible_sets": _MAPPED,
+    "colocalization": _MAPPED,
+    "coloc_credsets": _MAPPED,
+    "exome_variant_results": _EXOME,
+    "gene_burden_results": _EXOME,
+    "asm_qtl": (("decode%", "decode"),),
+    "open_chromatin": (
+        ("marderstein%", "marderstein"), ("li_brain%", "li_brain_atac"), ("catlas%", "catlas"), ("epimap%", "epimap"),
+        ("calderon%", "calderon_immune"), ("rosmap%", "rosmap_brain"),
+    ),
+    "variant_effect": (("marderstein%", "marderstein"),),
+    "mpra": (("siraj_mpra%", "siraj_mpra"),),
+    "peak_to_gene": (("finngen%", "finngen"),),
+    "hla_associations": (("finngen_hla%", "finngen"),),
+}
+EXPECTED_CONSTANTS = {"gene_annotations": "hgnc", "variant_annotation": "finngen"}
+
+# The derived columns expected of each view, {..} for a resource.
+_MAF = "CASE WHEN {0} < 1 - {0} THEN {0} ELSE 1 - {0} END AS maf"
+EXPECTED_COLUMNS = {
+    "credible_sets": f"{VARIANT_SQL} AS variant, {_MAF.format('aaf')}, {{dataset}} AS resource",
+    "colocalization": "{dataset1} AS resource1, {dataset2} AS resource2",
+    "coloc_credsets": f"{VARIANT_SQL} AS variant, {{dataset}} AS resource",
+    "exome_variant_results": f"{VARIANT_SQL} AS variant, {{dataset}} AS resource",
+    "gene_burden_results": "{dataset} AS resource",
+    "asm_qtl": f"{VARIANT_SQL} AS variant, {_MAF.format('af')}, {{dataset}} AS resource",
+    "gene_annotations": "{dataset} AS resource",
+    "open_chromatin": "{dataset} AS resource",
+    "variant_effect": "{dataset} AS resource",
+    "mpra": "{dataset} AS resource",
+    "variant_annotation": "{dataset} AS resource",
+    "peak_to_gene": "{dataset} AS resource",
+    "hla_associations": "{dataset} AS resource",
+}
+
+
+def _case(table: str, dataset: str, values: dict[str, str] | None = None, rest: str | None = None) -> str:
+    """Check SQL: a CASE over the expected patterns of a table, in order."""
+    whens = [
+        f"WHEN lower({dataset}) {'LIKE' if '%' in pattern else '='} '{pattern}' THEN '{values[pattern] if values else value}'"
+        for pattern, value in EXPECTED[table]
+    ]
+    return f"CASE {' '.join(whens)} ELSE {rest or f'lower({dataset})'} END"
+
+
+def resource_sql(table: str, dataset: str = "dataset") -> str:
+    """Check SQL of a resource."""
+    return f"'{EXPECTED_CONSTANTS[table]}'" if table in EXPECTED_CONSTANTS else _case(table, dataset)
+
+
+def rule_sql(table: str, dataset: str = "dataset") -> str:
+    """Check SQL of the pattern that decided, ``*`` for none."""
+    return _case(table, dataset, {pattern: pattern for pattern, _ in EXPECTED[table]}, "'*'")
 
 
 def view_sql(table: str) -> str:
     """Check SQL of a view."""
-    items = []
-    for name in views.DERIVED[table]:
-        if name == "variant":
-            items.append(f"{VARIANT_SQL} AS variant")
-        elif name.startswith("maf:"):
-            frequency = name[4:]
-            items.append(f"CASE WHEN {frequency} < 1 - {frequency} THEN {frequency} ELSE 1 - {frequency} END AS maf")
-        else:
-            items.append(f"{resource_sql(table, name.replace('resource', 'dataset'))} AS {name}")
-    return f"SELECT *, {', '.join(items)} FROM {table}"
+    names = {d: resource_sql(table, d) for d in ("dataset", "dataset1", "dataset2")}
+    return f"SELECT *, {EXPECTED_COLUMNS[table].format(**names)} FROM {table}"
 
 
 def _register_view(table: str) -> None:
@@ -186,7 +225,7 @@ def clean_pipe(t: Inputs):
     "variant_parts",
     "colocalization",
     """SELECT hit2, CASE WHEN hit2 LIKE '%:%' THEN CAST(split_part(hit2, ':', 1) AS BIGINT) END AS hit_chr,
-  CASE WHEN hit2 LIKE '%:%' THEN CAST(split_part(hit2, ':', 2) AS BIGINT) END AS hit_pos FROM colocalization""",
+  CASE WHEN hit2 LIKE '%:%' THEN TRY_CAST(split_part(hit2, ':', 2) AS BIGINT) END AS hit_pos FROM colocalization""",
 )
 def variant_parts(t: Inputs):
     return t("colocalization").select(
@@ -207,14 +246,24 @@ def stringify(t: Inputs):
 
 @query(
     "register_views",
-    "credible_sets coloc_credsets",
-    f"""SELECT resource, count(*) AS n, count(DISTINCT variant) AS variants FROM ({view_sql('coloc_credsets')}) GROUP BY resource""",
+    " ".join(TABLES),
+    " UNION ALL ".join(
+        f"SELECT '{name}{end}' AS name, count(*) AS n, count({column}) AS n_known FROM ({view_sql(name)})"
+        for name in TABLES
+        for end in ("", "_v")
+        for column in ("resource1" if name == "colocalization" else "resource",)
+    ),
 )
 def register_views(t: Inputs):
-    """SQL text over the base name: both names of a table give its view."""
+    """SQL text over all tables: both names of a table give its view."""
     existing = {v.name for v in t.spark.catalog.listTables() if v.isTemporary}
-    views.register(t.spark, {"coloc_credsets": t("coloc_credsets")})
-    answer = t.spark.sql("SELECT resource, count(*) AS n, count(DISTINCT variant) AS variants FROM coloc_credsets GROUP BY resource")
-    for name in {"coloc_credsets", "coloc_credsets_v"} - existing:
+    views.register(t.spark, {name: t(name) for name in TABLES})
+    names = [f"{name}{end}" for name in TABLES for end in ("", "_v")]
+    texts = [
+        f"SELECT '{n}' AS name, count(*) AS n, count({'resource1' if n.startswith('colocalization') else 'resource'}) AS n_known FROM {n}"
+        for n in names
+    ]
+    answer = t.spark.sql(" UNION ALL ".join(texts))
+    for name in set(names) - existing:
         t.spark.catalog.dropTempView(name)
     return answer

@@ -48,11 +48,11 @@ _VARIANTS = ["10:103003:T:C", "10:327004:A:G", "11:98002:G:A", "12:425001:C:T",
 @query(
     "variants_in_list",
     "variant_annotation",
-    f"SELECT variant, rsid, most_severe, gene_most_severe, AF FROM variant_annotation WHERE variant IN ({', '.join(repr(v) for v in _VARIANTS)})",
+    f"SELECT variant, rsid, most_severe, gene_most_severe, AF, INFO FROM variant_annotation WHERE variant IN ({', '.join(repr(v) for v in _VARIANTS)})",
 )
 def variants_in_list(t: Inputs):
     found = lookups.variants_in_list(t("variant_annotation"), _VARIANTS)
-    return found.select("variant", "rsid", "most_severe", "gene_most_severe", "AF")
+    return found.select("variant", "rsid", "most_severe", "gene_most_severe", "AF", "INFO")
 
 
 @query(
@@ -215,10 +215,16 @@ def resource_filter(t: Inputs):
 @query(
     "sample_rows",
     "credible_sets",
-    None,
+    "SELECT CAST(10 AS BIGINT) AS n_rows, CAST(10 AS BIGINT) AS n_in_view",
 )
 def sample_rows(t: Inputs):
-    return results.sample_rows(t.view("credible_sets"), 10)
+    """Any rows will do, so the answer is how many there are, and how many of them the view has."""
+    view = t.view("credible_sets")
+    keys = ["dataset", "cs_id", "variant", "pip", "trait_original"]
+    sample = results.sample_rows(view.select(*keys), 10).withColumn("row", F.monotonically_increasing_id())
+    found = sample.join(view.select(*keys), keys, "left_semi")
+    counts = found.agg(F.count_distinct("row").alias("n_in_view"))
+    return sample.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", counts.scalar().alias("n_in_view"))
 
 
 @query(

@@ -57,24 +57,37 @@ SELECT {_dataset(_LINE)} AS dataset, {_data_type(_LINE)} AS data_type,
 FROM lineitem""",
     "coloc_credsets": """
 SELECT dataset, data_type, trait, trait_original, cell_type, chr, pos, ref, alt, mlog10p, beta, se, pip, cs_id
-FROM credible_sets WHERE pip > 3e-1""",
+FROM credible_sets""",
     "colocalization": f"""
 SELECT {_dataset(_SIDE1)} AS dataset1, {_dataset(_SIDE2)} AS dataset2,
   {_data_type(_SIDE1)} AS data_type1, {_data_type(_SIDE2)} AS data_type2,
-  'G' || CAST({_SIDE1} AS STRING) AS trait1,
+  'G' || CAST({_SIDE1} AS STRING) AS trait1, o_orderpriority AS trait1_original, o_orderstatus AS trait2_original,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'l1.B' END AS cell_type1, CASE WHEN o_orderkey % 4 = 0 THEN 'l1.Mono' END AS cell_type2,
   CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE 'G' || CAST({_SIDE2} AS STRING) END AS trait2,
   'CS' || CAST({_SIDE1} AS STRING) AS cs1_id, 'CS' || CAST({_SIDE2} AS STRING) AS cs2_id,
   CAST(o_custkey % 24 + 1 AS STRING) || ':' || CAST(o_orderkey % 500 * 1000 AS STRING) || ':A:G' AS hit1,
-  CASE WHEN o_orderkey % 50 = 0 THEN 'bad' ELSE CAST(o_custkey % 24 + 1 AS STRING) || ':' || CAST(o_orderkey * 3 % 500 * 1000 AS STRING) || ':A:G' END AS hit2,
+  CASE o_orderkey % 50 WHEN 0 THEN 'bad' WHEN 1 THEN '2:bad:A:G' ELSE CAST(o_custkey % 24 + 1 AS STRING) || ':' || CAST(o_orderkey * 3 % 500 * 1000 AS STRING) || ':A:G' END AS hit2,
+  o_totalprice / 1e6 AS hit1_beta, o_totalprice / 1e4 AS hit1_mlog10p, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice / 2e6 END AS hit2_beta,
+  CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice / 2e4 END AS hit2_mlog10p,
   o_custkey % 24 + 1 AS chr, o_orderkey % 500 * 1000 AS region_start_min, o_orderkey % 500 * 1000 + 5000 AS region_end_max,
-  CAST(o_orderkey * 13 % 1000 AS DOUBLE) / 1e3 AS PP_H4_abf
+  CAST(o_orderkey % 10 AS DOUBLE) / 1e4 AS PP_H0_abf, CAST(o_orderkey % 11 AS DOUBLE) / 1e4 AS PP_H1_abf,
+  CAST(o_orderkey % 12 AS DOUBLE) / 1e4 AS PP_H2_abf, CAST(o_orderkey % 14 AS DOUBLE) / 1e4 AS PP_H3_abf,
+  CAST(o_orderkey * 13 % 1000 AS DOUBLE) / 1e3 AS PP_H4_abf,
+  o_orderkey % 900 AS nsnps, o_orderkey % 1000 AS nsnps1, o_orderkey % 1100 AS nsnps2,
+  CAST(o_custkey % 70 AS DOUBLE) / 1e1 AS cs1_log10bf, CAST(o_custkey % 80 AS DOUBLE) / 1e1 AS cs2_log10bf,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 100 AS DOUBLE) / 1e2 END AS clpp,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 50 AS DOUBLE) / 5e1 END AS clpa,
+  o_custkey % 40 + 1 AS cs1_size, o_custkey % 30 + 1 AS cs2_size, o_custkey % 20 AS cs_overlap, CASE WHEN o_custkey % 2 = 0 THEN '1,0' ELSE '1,1' END AS topInOverlap
 FROM orders""",
     "exome_variant_results": f"""
 SELECT CASE WHEN l_suppkey % 3 = 0 THEN 'IBD_exome' ELSE 'genebass' END AS dataset, {_SITE}, {_ALT} AS alt,
   'G' || CAST({_LINE} AS STRING) AS gene,
   CASE l_linenumber % 3 WHEN 0 THEN 'pLoF' WHEN 1 THEN 'missense' ELSE 'synonymous' END AS annotation,
-  l_quantity + 4 AS mlog10p, l_discount - 5e-2 AS beta, l_tax AS af_overall, l_orderkey % 1000 AS ac,
-  'T' || CAST(l_suppkey % 50 AS STRING) AS trait
+  l_quantity + 4 AS mlog10p, l_discount - 5e-2 AS beta, l_tax + 1e-2 AS se, l_tax AS af_overall,
+  CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_tax END AS af_cases, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_discount END AS af_controls,
+  l_orderkey % 1000 AS ac, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_orderkey % 2000 END AS an,
+  l_partkey % 5000 AS n_cases, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_partkey % 7000 END AS n_controls,
+  'T' || CAST(l_suppkey % 50 AS STRING) AS trait, l_returnflag AS trait_original
 FROM lineitem""",
     "gene_burden_results": """
 SELECT CASE o_custkey % 4 WHEN 0 THEN 'genebass' WHEN 1 THEN 'BipEx2' WHEN 2 THEN 'IBD_exome' ELSE 'SCHEMA2' END AS dataset,
@@ -91,29 +104,46 @@ FROM orders""",
     "asm_qtl": f"""
 SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'deCODE_asmQTL_CpG' ELSE 'deCODE_asmQTL_MDS' END AS dataset, {_SITE},
   CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE {_ALT} END AS alt, 'rs' || CAST(l_orderkey AS STRING) AS rsid,
-  l_discount * 1e1 AS af, l_quantity AS mlog10p, l_orderkey % 500 * 1000 AS target_start, l_orderkey % 500 * 1000 + 900 AS target_end
+  l_discount - 5e-2 AS beta, l_tax + 1e-2 AS se, l_discount * 1e1 AS af, l_quantity AS mlog10p,
+  CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE 'intron_variant' END AS most_severe, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE 'G' || CAST({_LINE} AS STRING) END AS gene_most_severe,
+  l_orderkey % 500 * 1000 AS target_start, l_orderkey % 500 * 1000 + 900 AS target_end, l_tax * 5e0 AS ref_methylrate, l_discount * 5e0 AS alt_methylrate,
+  l_orderkey % 7000 AS n_haplotypes, CASE WHEN l_linenumber = 1 THEN 'primary' ELSE 'secondary' END AS variant_rank,
+  CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_orderkey % 30 END AS ld_count, CASE WHEN l_linenumber % 5 = 0 THEN 'INDEL' ELSE 'SNP' END AS vartype
 FROM lineitem""",
     "open_chromatin_raw": """
 SELECT CASE p_partkey % 28 WHEN 22 THEN 'chrX' WHEN 23 THEN 'Y' WHEN 24 THEN 'chrM' WHEN 25 THEN 'mt' WHEN 26 THEN 'GL000220.1' WHEN 27 THEN CAST(p_partkey % 29 AS STRING) ELSE 'chr' || CAST(p_partkey % 28 + 1 AS STRING) END AS chrom,
   p_partkey % 500 * 1000 AS peak_start, p_partkey % 500 * 1000 + 500 AS peak_end,
   CASE p_partkey % 6 WHEN 0 THEN 'marderstein_open_chromatin' WHEN 1 THEN 'li_brain_open_chromatin' WHEN 2 THEN 'catlas_open_chromatin' WHEN 3 THEN 'epimap_open_chromatin' WHEN 4 THEN 'calderon_open_chromatin' ELSE 'rosmap_open_chromatin' END AS dataset,
   CASE p_size % 3 WHEN 0 THEN 'brain' WHEN 1 THEN 'heart' ELSE 'immune' END AS tissue,
-  CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_retailprice END AS score
+  CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_retailprice END AS score,
+  'peak' || CAST(p_partkey AS STRING) AS peak_id, CASE WHEN p_size % 5 = 0 THEN NULL ELSE 'cell' || CAST(p_size % 7 AS STRING) END AS cell_type,
+  CASE WHEN p_size % 2 = 0 THEN 'adult' ELSE 'fetal' END AS life_stage, CASE WHEN p_size % 3 = 0 THEN 'stimulated' END AS condition,
+  'ATAC-seq' AS assay, CASE WHEN p_size % 4 = 0 THEN NULL ELSE 'signal' END AS score_type, CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_partkey % 900 END AS n_cells,
+  'CL:' || lpad(CAST(p_size AS STRING), 7, '0') AS cell_ontology_id, CASE WHEN p_size % 2 = 0 THEN 'UBERON:' || lpad(CAST(p_size AS STRING), 7, '0') END AS uberon_id,
+  CASE WHEN p_size % 3 = 0 THEN 'G' || CAST(p_partkey % 312 AS STRING) END AS target_gene, CASE WHEN p_size % 3 = 0 THEN 'ENSG' || lpad(CAST(p_partkey % 312 AS STRING), 11, '0') END AS target_gene_id,
+  'v1' AS version
 FROM part""",
     "variant_annotation": """
 SELECT DISTINCT CAST(chr AS STRING) || ':' || CAST(pos AS STRING) || ':' || ref || ':' || alt AS variant, chr, pos, ref, alt,
-  CAST(pos % 100 AS DOUBLE) / 1e2 AS AF, CASE pos % 4 WHEN 0 THEN 'missense_variant' WHEN 1 THEN 'intron_variant' ELSE 'stop_gained' END AS most_severe,
+  CAST(pos % 40 AS DOUBLE) / 8e1 + 5e-1 AS INFO, CAST(pos % 100 AS DOUBLE) / 1e2 AS AF, pos % 3000 AS AC_Het, CASE WHEN pos % 9 = 0 THEN NULL ELSE pos % 300 END AS AC_Hom,
+  CASE WHEN pos % 8 = 0 THEN NULL ELSE CAST(pos % 50 AS DOUBLE) / 1e1 END AS EXOME_enrichment_nfe, CASE WHEN pos % 5 = 0 THEN NULL ELSE CAST(pos % 60 AS DOUBLE) / 1e1 END AS GENOME_enrichment_nfe,
+  pos % 100000 AS index, CASE pos % 4 WHEN 0 THEN 'missense_variant' WHEN 1 THEN 'intron_variant' ELSE 'stop_gained' END AS most_severe,
   'G' || CAST(pos % 312 AS STRING) AS gene_most_severe, 'rs' || CAST(pos AS STRING) AS rsid
-FROM credible_sets WHERE most_severe IS NOT NULL""",
+FROM (SELECT chr, pos, ref, CASE WHEN most_severe IS NULL THEN 'N' ELSE alt END AS alt FROM credible_sets) AS sites""",
     "variant_effect": """
 SELECT chr, pos, ref, alt, variant, CASE WHEN pos % 2 = 0 THEN 'marderstein_chrombpnet' ELSE 'marderstein_flare' END AS dataset,
-  CASE WHEN pos % 2 = 0 THEN 'chrombpnet' ELSE 'flare' END AS model, AF - 5e-1 AS score, AF > 8e-1 AS is_significant
+  CASE WHEN pos % 2 = 0 THEN 'chrombpnet' ELSE 'flare' END AS model, AF - 5e-1 AS score, AF > 8e-1 AS is_significant,
+  rsid, CASE WHEN pos % 2 = 0 THEN 'cell' || CAST(pos % 7 AS STRING) END AS cell_type, CASE pos % 3 WHEN 0 THEN 'brain' WHEN 1 THEN 'heart' ELSE 'immune' END AS tissue,
+  CASE WHEN pos % 2 = 0 THEN 'adult' ELSE 'fetal' END AS life_stage, 'logfc' AS score_type, CASE WHEN pos % 6 = 0 THEN NULL ELSE CAST(pos % 80 AS DOUBLE) / 1e1 END AS mlog10p,
+  CASE WHEN AF > 5e-1 THEN 'up' WHEN AF < 5e-1 THEN 'down' END AS predicted_direction, AF AS quantile_rank, 'v2' AS version
 FROM variant_annotation""",
     "mpra": " UNION ALL ".join(
         f"""
-SELECT chr, pos, variant, ref, alt, '{line}' AS cell_line, CASE WHEN pos % 7 = 0 THEN NULL ELSE pos % 5 = 0 END AS emVar, AF - 5e-1 AS log2Skew, 'siraj_mpra' AS dataset
+SELECT chr, pos, variant, ref, alt, '{line}' AS cell_line, CASE WHEN pos % 7 = 0 THEN NULL ELSE pos % 5 = 0 END AS emVar, AF - 5e-1 AS log2Skew, 'siraj_mpra' AS dataset,
+  CASE WHEN pos % 2 = 0 THEN 'UKBB' ELSE 'BBJ' END AS cohort, pos % 3 = 0 AS active, {se} AS log2Skew_se, CASE WHEN pos % 7 = 0 THEN NULL ELSE CAST(pos % 90 AS DOUBLE) / 1e1 END AS log2Skew_mlog10p,
+  AF * 2e0 AS log2FC, CAST(pos % 30 AS DOUBLE) / 1e1 AS log2FC_mlog10p, {rna} AS mean_RNA_ref, {rna} + 1e0 AS mean_RNA_alt
 FROM variant_annotation"""
-        for line in ("meta", "K562", "HEPG2")
+        for line, se, rna in (("meta", "1e-1", "CAST(NULL AS DOUBLE)"), ("K562", "CAST(NULL AS DOUBLE)", "AF * 9e1"), ("HEPG2", "CAST(NULL AS DOUBLE)", "AF * 8e1"))
     ),
     "hla_associations": """
 SELECT CAST(6 AS BIGINT) AS chr, 30000000 + o_custkey % 3 * 1000000 AS pos,
@@ -129,7 +159,11 @@ FROM orders""",
 SELECT 'chr' || CASE WHEN p_partkey % 24 = 22 THEN 'X' WHEN p_partkey % 24 = 23 THEN 'Y' ELSE CAST(p_partkey % 24 + 1 AS STRING) END AS chrom,
   p_partkey % 500 * 1000 AS peak_start, p_partkey % 500 * 1000 + 500 AS peak_end, {_PEAK.format(k="p_partkey")} AS peak_id,
   'G' || CAST(p_partkey * 3 % 312 AS STRING) AS symbol, 'predicted.celltype.' || CASE p_size % 3 WHEN 0 THEN 'l1.B' WHEN 1 THEN 'l1.CD4_T' ELSE 'l1.Mono' END AS cell_type,
-  'FinnGen_ATACseq' AS dataset
+  'FinnGen_ATACseq' AS dataset, 'ENSG' || lpad(CAST(p_partkey * 3 % 312 AS STRING), 11, '0') AS gene_id,
+  p_partkey % 9000 AS total_cell_num, p_partkey % 800 AS expr_cell_num, CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_partkey % 700 END AS open_cell_num,
+  p_retailprice / 1e4 AS hurdle_zero_beta, p_retailprice / 1e5 AS hurdle_zero_se, p_retailprice / 1e3 AS hurdle_zero_z, p_retailprice / 5e2 AS hurdle_zero_nlog10p,
+  p_retailprice / 2e4 AS hurdle_count_beta, p_retailprice / 2e5 AS hurdle_count_se, p_retailprice / 2e3 AS hurdle_count_z,
+  CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_retailprice / 4e2 END AS hurdle_count_nlog10p, p_retailprice * 2e0 AS hurdle_aic, p_retailprice * 3e0 AS hurdle_bic
 FROM part""",
     "hgnc": """
 SELECT 'HGNC:' || CAST(p_partkey AS STRING) AS hgnc_id, CASE WHEN p_partkey % 53 = 0 THEN NULL ELSE 'G' || CAST(p_partkey AS STRING) END AS symbol,
@@ -137,19 +171,19 @@ SELECT 'HGNC:' || CAST(p_partkey AS STRING) AS hgnc_id, CASE WHEN p_partkey % 53
   '"Alt' || CAST(p_partkey AS STRING) || '|B"' AS alias_symbol, p_type AS locus_type, CAST(p_partkey * 10 AS STRING) AS entrez_id
 FROM part""",
     "gencode": """
-SELECT 'ENSG' || lpad(CAST(p_partkey AS STRING), 11, '0') || '.9' AS gene_id,
+SELECT CASE WHEN p_size > 7 THEN 'ENSG' ELSE 'ENSX' END || lpad(CAST(p_partkey AS STRING), 11, '0') || '.9' AS gene_id,
   CASE p_partkey % 24 WHEN 22 THEN 'chrX' WHEN 23 THEN 'chrY' ELSE 'chr' || CAST(p_partkey % 24 + 1 AS STRING) END AS chrom,
   CAST(p_partkey % 500 * 1000 AS STRING) AS gene_start, CAST(p_partkey % 500 * 1000 + p_size * 100 AS STRING) AS gene_end,
   CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS gene_strand
-FROM part WHERE p_size > 7""",
+FROM part""",
     "gene_has_family": """
-SELECT CAST(p_partkey AS STRING) AS hgnc_id, CAST(p_partkey % 25 + 100 AS STRING) AS family_id FROM part WHERE p_brand <> 'Brand#3'""",
+SELECT CAST(p_partkey + CASE WHEN p_brand = 'Brand#3' THEN 500000000 ELSE 0 END AS STRING) AS hgnc_id, CAST(p_partkey % 25 + 100 AS STRING) AS family_id FROM part""",
     "hierarchy_closure": """
 SELECT CAST(n_regionkey + 10 AS STRING) AS parent_fam_id, CAST(n_nationkey + 100 AS STRING) AS child_fam_id, '1' AS distance FROM nation
 UNION ALL SELECT '1', CAST(n_nationkey + 100 AS STRING), '2' FROM nation UNION ALL SELECT '1', CAST(r_regionkey + 10 AS STRING), '1' FROM region
 UNION ALL SELECT CAST(n_nationkey + 100 AS STRING), CAST(n_nationkey + 100 AS STRING), '0' FROM nation""",
     "family": """
-SELECT CAST(n_nationkey + 100 AS STRING) AS id, n_name AS name FROM nation WHERE n_nationkey <> 3
+SELECT CAST(n_nationkey + CASE WHEN n_nationkey = 3 THEN 900 ELSE 100 END AS STRING) AS id, n_name AS name FROM nation
 UNION ALL SELECT CAST(r_regionkey + 10 AS STRING), r_name FROM region UNION ALL SELECT '1', 'ROOT'""",
 }
 

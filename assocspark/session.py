@@ -50,9 +50,13 @@ def new_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str =
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    A machine-local folder is used only where ``spark.checkpoint.dir`` is unset, as in tests.
+    A machine-local folder is used only by a local master without that setting, as in tests. On a
+    cluster each executor would write to its own disk, so there the setting is required.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         return tempfile.mkdtemp(prefix="run-")
     return os.path.join(shared, f"assocspark-{uuid.uuid4().hex}")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 MEMBER = b"\x1f\x8b\x08\x04"
 _MAX_BLOCK = 1 << 16
 SPLIT_BYTES = 64 << 20
-MAX_TASKS = 50_000
+CHUNK_BYTES = 4 << 20
 
 
 def file_system(uri: str):
@@ -79,31 +79,12 @@ def _texts(source, offset: int, size: int) -> Iterator[tuple[int, bytes]]:
         offset += length
 
 
-def _plain_texts(source) -> Iterator[bytes]:
-    """Plain gzip under the same suffix: one pass over the whole file, member by member."""
-    source.seek(0)
-    inflate = zlib.decompressobj(wbits=31)
-    while data := source.read(1 << 20):
-        while data:
-            yield inflate.decompress(data)
-            data = inflate.unused_data
-            if inflate.eof:
-                inflate = zlib.decompressobj(wbits=31)
-
-
-def _lines(source, start: int, end: int, size: int) -> Iterator[bytes]:
-    """Lines that begin in blocks whose offset lies in [start, end)."""
+def _chunks(source, start: int, end: int, size: int) -> Iterator[bytes]:
+    """Runs of whole lines that begin in blocks whose offset lies in [start, end)."""
     if _block_size(source.read(64)) is None:
-        if start == 0:
-            rest = b""
-            for text in _plain_texts(source):
-                *whole, rest = (rest + text).split(b"\n")
-                yield from whole
-            if rest:
-                yield rest
-        return
+        raise ValueError("not a block-gzip file; read plain gzip with block_gzip=False")
     # The split before owns the line that runs into this one, so the first piece is its own.
-    rest, skipping = b"", start > 0
+    rest, skipping, kept, held = b"", start > 0, [], 0
     for offset, text in _texts(source, _first_block(source, start, size), size):
         if offset >= end:
             if skipping:
@@ -111,7 +92,7 @@ def _lines(source, start: int, end: int, size: int) -> Iterator[bytes]:
             head, newline, _ = text.partition(b"\n")
             rest += head
             if newline:
-                yield rest
+                yield b"\n".join([*kept, rest])
                 return
             continue
         if skipping:
@@ -119,48 +100,61 @@ def _lines(source, start: int, end: int, size: int) -> Iterator[bytes]:
             if not newline:
                 continue
             skipping = False
-        *whole, rest = (rest + text).split(b"\n")
-        yield from whole
+        whole, newline, tail = text.rpartition(b"\n")
+        if newline:
+            kept.append(rest + whole)
+            rest, held = tail, held + len(whole)
+        else:
+            rest += tail
+        if held >= CHUNK_BYTES:
+            yield b"\n".join(kept)
+            kept, held = [], 0
     if rest and not skipping:
-        yield rest
+        kept.append(rest)
+    if kept:
+        yield b"\n".join(kept)
 
 
-def _read_ranges(skip_leading_rows: int, batch_lines: int = 50_000):
+def _read_ranges(opened: Callable):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                with _open(row.path) as source:
-                    lines, skip = [], skip_leading_rows if row.start == 0 else 0
-                    for line in _lines(source, row.start, row.end, row.length):
-                        if skip:
-                            skip -= 1
-                            continue
-                        lines.append(line.decode("utf-8").removesuffix("\r"))
-                        if len(lines) == batch_lines:
-                            yield pd.DataFrame({"value": lines})
-                            lines = []
-                    if lines:
-                        yield pd.DataFrame({"value": lines})
+                with opened(row.path) as source:
+                    first = row.start == 0
+                    for chunk in _chunks(source, row.start, row.end, row.length):
+                        yield pd.DataFrame({"chunk": [chunk.decode("utf-8")], "first": [first]})
+                        first = False
 
     return read
 
 
 def read_bgzf_lines(
-    spark: SparkSession, paths: str | list[str], skip_leading_rows: int = 1, split_bytes: int = SPLIT_BYTES
+    spark: SparkSession,
+    paths: str | list[str],
+    skip_leading_rows: int = 1,
+    split_bytes: int = SPLIT_BYTES,
+    opened: Callable = _open,
 ) -> DataFrame:
-    """Lines of block-gzip files as a ``value`` column, about one task per byte range.
+    """Lines of block-gzip files as a ``value`` column, about one task per ``split_bytes`` of input.
 
-    The first ``skip_leading_rows`` lines of each file are dropped; they must lie in its first
-    range. Fields cannot hold newlines, as in any position-indexed text file.
+    The first ``skip_leading_rows`` lines of each file are dropped; they must lie in its first few megabytes. Fields
+    cannot hold newlines, as in any position-indexed text file. Python only unpacks blocks, Spark splits lines.
+    ``opened`` turns a path, as Spark spells it, into a readable file; give one for file systems that
+    pyarrow does not know by scheme, or that need credentials.
     """
     paths = [paths] if isinstance(paths, str) else paths
     # Only path and length are selected, so the listing reads no file content.
-    files = spark.read.format("binaryFile").load(paths).select("path", "length").filter("length > 0")
+    listed = spark.read.format("binaryFile").load(paths)
+    files = listed.select("path", "length").filter("length > 0")
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint"))
     ranges = files.withColumn("start", F.explode(starts)).withColumn(
         "end", F.least(F.col("start") + split_bytes, F.col("length"))
     )
-    # A range is a tiny row for a lot of work: without a number of its own, adaptive execution
-    # would merge all of them into one task.
-    tasks = max(1, min(ranges.count(), MAX_TASKS))
-    return ranges.repartition(tasks, "path", "start").mapInPandas(_read_ranges(skip_leading_rows), "value string")
+    # A range is a tiny row for a lot of work: without a number of its own, adaptive execution would merge all of
+    # them into one task. The planner knows the size of the files from listing them.
+    size = int(listed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = size // split_bytes + len(listed.inputFiles()) + 1
+    chunks = ranges.repartition(tasks, "path", "start").mapInPandas(_read_ranges(opened), "chunk string, first boolean")
+    lines = F.split("chunk", "\n")
+    kept = F.when(F.col("first"), F.slice(lines, skip_leading_rows + 1, F.greatest(F.size(lines) - skip_leading_rows, F.lit(0)))).otherwise(lines)
+    return chunks.select(F.explode(kept).alias("value")).select(F.regexp_replace("value", "\r$", "").alias("value"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assocspark.schemas import TABLES, table as registered
+from assocspark.sources.text import enforce_required
 
 # What a write does to rows that are already there.
 WRITE_MODES = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite", "WRITE_EMPTY": "append"}
@@ -43,10 +46,19 @@ def _has_rows(spark: SparkSession, table: str, path: str) -> bool:
 
 
 def described(df: DataFrame, table: str) -> DataFrame:
-    """Registry order, with the registry's comments attached again."""
-    schema = registered(table).schema
-    present = [f for f in schema if f.name in df.columns]
-    return df.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in present])
+    """Registry order, with the registry's comments attached again.
+
+    A column that the registry lacks, or a required one that is missing or NULL, fails the write. Other missing
+    columns are NULL.
+    """
+    spec = registered(table)
+    unknown = sorted(set(df.columns) - set(spec.columns))
+    missing = sorted(set(spec.required) - set(df.columns))
+    if unknown or missing:
+        raise ValueError(f"{table}: unknown columns {unknown}, missing required columns {missing}")
+    present = [f for f in spec.schema if f.name in df.columns]
+    shown = df.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in present])
+    return enforce_required(shown, table)
 
 
 def _order(df: DataFrame, table: str) -> list[str]:
@@ -63,21 +75,17 @@ def _save(df: DataFrame, table: str, path: str, mode: str) -> None:
     writer.parquet(path)
 
 
-def laid_out(df: DataFrame, table: str, partitions: int | None = None, sampled: bool = True) -> DataFrame:
-    """Range-partition by chromosome, cluster columns and position; sort inside partitions.
+def laid_out(df: DataFrame, table: str, partitions: int | None = None, sampled: bool = False) -> DataFrame:
+    """Partition by chromosome and cluster columns, sort inside partitions.
 
-    Chromosome alone gives some 25 keys of very different size. With the cluster columns and
-    the position behind it, a large chromosome or a hot data set is cut into as many ranges as
-    it needs, and each file covers a narrow range of the cluster columns, so their min/max
-    statistics prune. The input partition number comes last and cuts runs of equal rows.
+    By default rows go by hash of chromosome and first cluster column, and adaptive execution cuts
+    partitions that come out large and merges small ones, so files have a useful size however large the
+    load is, and the input is read once.
 
-    Without ``partitions`` Spark starts from its shuffle partitions and merges small ones; for a
-    very large load give a number that makes each some hundred megabytes.
-
-    Finding the ranges takes a pass over the input of its own. With ``sampled=False`` there is
-    none: rows go by hash of chromosome and first cluster column, and adaptive execution cuts
-    partitions that come out large and merges small ones. That suits input that is costly to
-    read, at the price of files that overlap more in the other columns.
+    ``sampled=True`` range-partitions by chromosome, cluster columns and position instead: files then
+    cover narrow ranges of the cluster columns, so their statistics prune more. Finding the ranges takes a pass
+    over the input of its own, and nothing cuts large ranges, so give ``partitions`` such that each holds
+    some hundred megabytes. The input partition number comes last in the order and cuts runs of equal rows.
     """
     order = _order(df, table)
     if not sampled:
@@ -93,7 +101,7 @@ def write_table(
     path: str,
     write_mode: str = "WRITE_TRUNCATE",
     partitions: int | None = None,
-    sampled: bool = True,
+    sampled: bool = False,
 ) -> int:
     """Write rows of a registered table and return how many this write added.
 
@@ -148,6 +156,36 @@ def replace_rows(old: DataFrame, owned: Column, new: DataFrame, table: str, path
     return write_table(new, table, path, "WRITE_APPEND")
 
 
+def _renamed(spark: SparkSession, source: str, target: str) -> None:
+    """Put a folder in the place of another one."""
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    system = paths[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(paths[1].getParent())
+    system.delete(paths[1], True)
+    if not system.rename(*paths):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def replace_owned(new: DataFrame, owner: str, table: str, path: str) -> int:
+    """Replace all rows of one owner in a table that has a partition level ``owner`` above its own.
+
+    The new rows are written beside the table, in a folder that readers do not see, and take the place
+    of the owner's partition when they are complete. No row or file of another owner is read or written, and
+    data sets the owner no longer has go with the partition.
+    """
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    written = write_table(new, table, staged)
+    _renamed(new.sparkSession, staged, f"{path}/owner={owner}")
+    return written
+
+
+def read_owned(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """A table with owners, in registry order; ``owner`` comes last and is a partition column."""
+    schema = registered(table).schema
+    kept = T.StructType([*schema, T.StructField("owner", T.StringType())])
+    return spark.read.schema(kept).parquet(path).select(*kept.names)
+
+
 def create_tables(spark: SparkSession, database: str, tables: list[str] | None = None, recreate: bool = False) -> None:
     """Create catalog tables with comments and partitioning; ``recreate`` drops them first."""
     for name in tables or list(TABLES):
@@ -158,9 +196,11 @@ def create_tables(spark: SparkSession, database: str, tables: list[str] | None =
 
 
 def reload_table(df: DataFrame, database: str, table: str) -> None:
-    """Empty a catalog table, then append: unlike an overwrite this keeps its comments."""
-    identifier = f"`{database}`.`{table}`"
-    spark = df.sparkSession
-    spark.sql(f"TRUNCATE TABLE {identifier}")
-    target = spark.table(identifier).columns
-    laid_out(df, table).select(*target).write.mode("append").insertInto(f"{database}.{table}")
+    """Replace the rows of a catalog table and keep its comments.
+
+    The table is overwritten by an insert, which publishes the new rows when the job is complete and refuses a
+    frame that reads the same table.
+    """
+    identifier = f"{database}.{table}"
+    target = df.sparkSession.table(identifier).columns
+    laid_out(described(df, table), table).select(*target).write.insertInto(identifier, overwrite=True)

@@ -40,14 +40,13 @@ def read_fields(
     paths: str | list[str],
     schema: T.StructType,
     skip_leading_rows: int = 1,
-    quoted_newlines: bool = True,
+    quoted_newlines: bool = False,
     block_gzip: bool = False,
 ) -> DataFrame:
     """Every field as text, by position. Short or long rows fail the job.
 
-    ``quoted_newlines`` reads a file as a whole in one task, which gzip forces anyway; turn it
-    off for plain text without quoted newlines, and Spark splits the files. Block-gzip files
-    are split at their blocks.
+    Spark splits plain files; gzip files are one task each. ``quoted_newlines`` allows line ends inside
+    quoted fields and reads each file as a whole in one task. Block-gzip files are split at their blocks.
     """
     text = _text_schema(schema)
     options = {

@@ -33,7 +33,7 @@ def load(spark, path, **options):
 
 def test_null_text_empty_text_and_quoted_newlines(spark, folder):
     path = put(folder, [hla(phenotype="NA2"), hla(phenotype=""), hla(phenotype='"a\nb"'), hla(chrom="chrX", mlogp="NA", phenotype='""')])
-    rows = load(spark, path).select("chr", "phenotype", "mlogp", "pval", "dataset").collect()
+    rows = load(spark, path, quoted_newlines=True).select("chr", "phenotype", "mlogp", "pval", "dataset").collect()
     assert [tuple(r) for r in rows] == [
         (6, "NA2", 1.5, None, "d"), (6, "", 1.5, None, "d"), (6, "a\nb", 1.5, None, "d"), (23, "", None, None, "d"),
     ]
@@ -129,13 +129,15 @@ def test_long_lines_cross_blocks_and_ranges(spark, folder):
     assert sorted(r["value"] for r in df.collect()) == lines[1:]
 
 
-def test_last_line_without_newline_and_plain_gzip_under_the_suffix(spark, folder):
+def test_last_line_without_newline_and_no_plain_gzip_under_the_suffix(spark, folder):
     with open(f"{folder}/a.bgz", "wb") as out:
         out.write(_block(b"h\nx\ny"))
+    found = read_bgzf_lines(spark, f"{folder}/*.bgz", 1, split_bytes=40)
+    assert sorted(r["value"] for r in found.collect()) == ["x", "y"]
     with open(f"{folder}/b.bgz", "wb") as out:
         out.write(gzip.compress(b"h\nu\n") + gzip.compress(b"v\n" * 50_000 + b"w"))
-    found = read_bgzf_lines(spark, f"{folder}/*.bgz", 1, split_bytes=40).groupBy("value").count().collect()
-    assert {r["value"]: r["count"] for r in found} == {"x": 1, "y": 1, "u": 1, "v": 50_000, "w": 1}
+    with pytest.raises(Exception, match="not a block-gzip file"):
+        read_bgzf_lines(spark, f"{folder}/*.bgz", 1, split_bytes=40).count()
 
 
 def test_block_gzip_table_load_equals_the_gzip_one(spark, folder):

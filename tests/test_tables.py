@@ -52,7 +52,7 @@ def test_hot_chromosome_and_data_set_are_cut_into_several_sorted_files(spark, fo
     path = f"{folder}/t"
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        tables.write_table(coloc(spark, 4_000), "coloc_credsets", path)
+        tables.write_table(coloc(spark, 4_000), "coloc_credsets", path, sampled=True)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     files = glob.glob(f"{path}/chr=1/*.parquet")
@@ -66,7 +66,7 @@ def test_equal_rows_are_cut_too(spark):
     same = coloc(spark, 4_000).withColumn("pos", F.lit(1).cast("bigint"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        parts = tables.laid_out(same, "coloc_credsets").groupBy(F.spark_partition_id()).count().collect()
+        parts = tables.laid_out(same, "coloc_credsets", sampled=True).groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(parts) > 4 and sum(p["count"] for p in parts) == 4_000
