@@ -259,6 +259,7 @@ def _dictionary(chunks: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["chunk", *_ENTRY.names])
 
     rows = chunks.select("chunk", "entries").mapInArrow(run, "chunk long, word long, place int, n int, vote int, votes int")
+    rows = rows.repartition("word")  # serves both windows; a rare word has few rows in each chunk
     word, each = Window.partitionBy("word"), Window.partitionBy("word", "vote")
     rows = rows.withColumn("total", F.sum("votes").over(each))
     rows = rows.withColumn("best", F.max(F.struct("total", "vote")).over(word)["vote"])
