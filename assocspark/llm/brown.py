@@ -38,7 +38,7 @@ END, OTHER = 0, CLASSES + 1  # classes 1 .. CLASSES hold frequent words, RARE +
 RARE = CLASSES
 KINDS = 2 * CLASSES + 1
 UNSEEN = 255
-_CHUNK = 4 << 20
+_CHUNK = 1 << 20
 
 
 @dataclass
@@ -228,7 +228,8 @@ def _chunks(docs: DataFrame, held_out: Column, words: Words, table: np.ndarray)
                 lead[1:] = entry["place"][1:] != entry["place"][:-1]
                 entry["n"] = np.where(lead, n[entry["place"]], -1)  # -1: a further vote on the word before
                 known = counts[number]
-                sums = [np.bincount(doc, x, minlength=part.num_rows) for x in (known > 0, base[number], emission[number])]
+                # of no words, bincount gives integers even with weights
+                sums = [np.bincount(doc, x, minlength=part.num_rows).astype(np.float64) for x in (known > 0, base[number], emission[number])]
                 rows = {
                     "doc_id": part.column("doc_id").cast(pa.int64()), "held_out": pa.array(held), "words": pa.array(np.diff(first), pa.int64()),
                     "known": pa.array(sums[0].astype(np.int64)), "base": pa.array(sums[1]), "emission": pa.array(sums[2]),
@@ -286,7 +287,7 @@ def _classed(chunks: DataFrame, dictionary: DataFrame, totals: np.ndarray) -> Da
         doc = np.searchsorted(begin, rare, side="right") - 1
         count, size = n[places], len(row["words"])
         own = np.where(count > 0, np.log10(np.maximum(count, 1) / totals[kinds[rare]]), 0.0)
-        sums = [np.bincount(doc, x, minlength=size) for x in (count > 0, np.log10(count + 0.1), own)]
+        sums = [np.bincount(doc, x, minlength=size).astype(np.float64) for x in (count > 0, np.log10(count + 0.1), own)]
         return pa.table(
             {
                 "doc_id": pa.array(row["doc_id"], pa.int64()),

@@ -20,6 +20,7 @@ _STEP = U64(0xD1342543DE82EF95)
 _BYTE = np.random.default_rng(20240).integers(1, 2**64, 256, dtype=U64)
 BASES = (_BASE, _STEP)
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+BLOCK = 1 << 18  # values hashed at a time
 
 
 def fold(column: Column | str, divisor: int) -> Column:
@@ -42,7 +43,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of whole documents of about ``limit`` bytes, at least one document each."""
     _, at = bytes_of(batch.column(column))
     first = 0
@@ -64,33 +65,43 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
-def _power(base: U64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to at least n."""
-    have = _powers.get(int(base))
-    if have is None or len(have[0]) <= n:
-        inverse = U64(pow(int(base), -1, 2**64))
-        size = max(n + 1, 1 << 16)
-        steps = []
-        for b in (base, inverse):
-            row = np.full(size, b, U64)
+def _power(base: U64) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and base**-i modulo 2**64 for i within a block."""
+    if int(base) not in _powers:
+        rows = []
+        for b in (int(base), pow(int(base), -1, 2**64)):
+            row = np.full(BLOCK, b, U64)
             row[0] = 1
-            steps.append(np.multiply.accumulate(row))
-        have = steps[0], steps[1]
-        if size <= 1 << 23:
-            _powers[int(base)] = have
-    return have
+            rows.append(np.multiply.accumulate(row))
+        _powers[int(base)] = rows[0], rows[1]
+    return _powers[int(base)]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: U64 = _BASE) -> np.ndarray:
-    """A hash of each run ``values[start:end]`` of 64-bit values, equal for equal runs wherever they stand."""
-    up, down = _power(base, len(values))
+def span_hashes(
+    values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: U64 = _BASE, table: np.ndarray | None = None
+) -> np.ndarray:
+    """A hash of each run ``values[start:end]`` of 64-bit values, equal for equal runs wherever they stand.
+
+    With ``table``, values are places in it. Works in blocks: beside the prefix sums, memory is that of one block.
+    """
+    up, down = _power(base)
     sums = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * up[: len(values)], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64) * _STEP)
+    carry, shift, step = 0, 1, pow(int(base), BLOCK, 2**64)
+    for at in range(0, len(values), BLOCK):
+        block = values[at : at + BLOCK]
+        block = (table[block] if table is not None else block) * up[: len(block)]
+        sums[at + 1 : at + 1 + len(block)] = np.cumsum(block) * np.array(shift, U64) + np.array(carry, U64)
+        carry, shift = int(sums[at + len(block)]), shift * step % 2**64
+    back = np.full(len(values) // BLOCK + 1, pow(step, -1, 2**64), U64)
+    back[0] = 1
+    back = np.multiply.accumulate(back)
+    starts, ends = np.asarray(starts), np.asarray(ends)
+    unshift = back[starts // BLOCK] * down[starts % BLOCK]
+    return mixed((sums[ends] - sums[starts]) * unshift + (ends - starts).astype(U64) * _STEP)
 
 
 def byte_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(_BYTE[data], starts, ends)
+    return span_hashes(data, starts, ends, table=_BYTE)
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
