@@ -22,11 +22,12 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from assocspark.llm import text
@@ -34,8 +35,8 @@ from assocspark.llm.store import stored
 
 CAPACITY = 2048
 END = 0
-_CACHED_PARTS = 500_000
-_tokenizers: dict[str, WordTokenizer] = {}
+_CACHED_PARTS = 100_000
+_tokenizers: dict[int, WordTokenizer] = {}
 
 
 class _Parts(dict):
@@ -60,10 +61,10 @@ class WordTokenizer:
     whole, as are texts that may name one of its special tokens.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, definition: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_str(definition)
         letters, numbers, blanks = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
         # the split pattern of the vocabulary, for lower-cased Latin-1
         self.split = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{blanks}{letters}{numbers}]+")
@@ -94,17 +95,26 @@ class WordTokenizer:
         return self._latin(value)
 
 
-def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
+class Definition:
+    """The text of a tokenizer file, read by the driver and broadcast: tasks open no file. Some megabytes, whatever the corpus."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        value = Path(path).read_text(encoding="utf-8")
+        self.size = WordTokenizer(value).whole.get_vocab_size()
+        self.key, self.sent = zlib.crc32(value.encode()), spark.sparkContext.broadcast(value)
+
+    def tokenizer(self) -> WordTokenizer:
+        if self.key not in _tokenizers:
+            _tokenizers[self.key] = WordTokenizer(self.sent.value)
+        return _tokenizers[self.key]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces of documents: doc_id, piece, start, length, ids_crc32, and the task and its count of that length so far."""
+    definition = Definition(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, task = _tokenizer(path), TaskContext.get().partitionId()
+        tokenizer, task = definition.tokenizer(), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for part in text.slices(batch, "text"):

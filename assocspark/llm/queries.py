@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocspark.llm import brown, decontaminate, fingerprint, langid, line_sql, linededup, minhash, packing, pii, quality, secrets, text
+from assocspark.llm import balanced, brown, conversations, decontaminate, fingerprint, langid, line_sql, linededup
+from assocspark.llm import minhash, packing, periodic, pii, quality, secrets, text
 from assocspark.llm.store import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +85,28 @@ def personal_data(table) -> DataFrame:
 def secret_scan(table) -> DataFrame:
     docs = table("documents")
     return secrets.scan(docs, secrets.train(docs))
+
+
+@query("op11_periodic_runs")
+def periodic_runs(table) -> DataFrame:
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    tail = F.when(hashed % 10 == 0, periodic.repeated_tail(F.col("text"), hashed)).otherwise(F.col("text"))
+    found = periodic.collapse(table("documents").select("doc_id", tail.alias("text")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    shown = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    found = found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best")["col2"]).alias("start"), F.col("best")["l"].alias("length"),
+        (-F.col("best")["col3"]).alias("period"), F.sha2(shown, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+    return found.withColumn("exponent_milli", F.expr("1000 * length div period"))
+
+
+@query("op12_conversation_repair")
+def conversation_repair(table) -> DataFrame:
+    return conversations.digest(conversations.repair(conversations.damaged(table("conversations"))))
+
+
+@query("op13_cost_balanced_packing")
+def cost_balanced_packing(table) -> DataFrame:
+    return balanced.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))

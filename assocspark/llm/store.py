@@ -24,8 +24,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, for sessions that were started without it on their path."""
+    """Send this package to the Python workers, for sessions that were started without it on their path.
+
+    Also bounds the bytes of an Arrow batch, so that long texts do not add up in a worker.
+    """
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     if getattr(context, "_assocspark_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
