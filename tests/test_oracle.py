@@ -8,6 +8,7 @@ from compare import database, difference
 from conftest import SMALL, plan_of
 
 ORACLE = entry.oracle_sql()
+MAY_BE_EMPTY = {"op2_secret_scan"}  # the smallest folder holds none
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def test_query(spark, duck, name):
     if name in ORACLE:
         assert difference(df, duck, ORACLE[name]) is None
     else:
-        assert df.count() > 0
+        assert df.count() > 0 or name in MAY_BE_EMPTY
 
 
 def test_flagship(spark):
