@@ -35,7 +35,7 @@ from assocspark.llm.store import stored
 
 CAPACITY = 2048
 END = 0
-_CACHED_PARTS = 100_000
+_CACHED_PARTS = 300_000
 _tokenizers: dict[int, WordTokenizer] = {}
 
 
