@@ -156,6 +156,20 @@ def cis_credible_sets(t: Inputs):
     return intervals.variants_near_genes(variants, t("genes_placed"), 5_000)
 
 
+@query(
+    "variant_in_feature",
+    "credible_sets open_chromatin genes_placed",
+    """SELECT v.chr, v.pos, v.dataset, v.cs_id, 'peak' AS feature, p.peak_id AS name, p.peak_start AS feature_start, p.peak_end AS feature_end
+FROM credible_sets v JOIN open_chromatin p ON p.chr = v.chr AND v.pos > p.peak_start AND v.pos <= p.peak_end
+UNION ALL SELECT v.chr, v.pos, v.dataset, v.cs_id, 'gene', g.symbol, g.gene_start - 2001, g.gene_end + 2000
+FROM credible_sets v JOIN genes_placed g ON g.chr = v.chr AND v.pos BETWEEN g.gene_start - 2000 AND g.gene_end + 2000""",
+)
+def variant_in_feature(t: Inputs):
+    """Peaks of some hundred bases and genes of up to tens of thousands, in one join."""
+    found = intervals.features(t("open_chromatin"), t("genes_placed"), 2_000)
+    return intervals.variants_in_features(t("credible_sets").select("chr", "pos", "dataset", "cs_id"), found)
+
+
 @query(
     "gene_coords",
     "hgnc gencode",

@@ -42,7 +42,7 @@ def coloc_either_side(t: Inputs):
     return lookups.colocalizations_of(t("colocalization"), "G26")
 
 
-_VARIANTS = ["10:103003:T:C", "10:327004:A:G", "11:98002:G:A", "12:425001:C:T", "13:496006:G:A", "99:1:A:G"]
+_VARIANTS = ["22:22:G:A", "4:362:G:A", "11:20:A:G", "18:418:G:A", "16:12:A:G", "7:409:C:T", "99:1:A:G"]
 
 
 @query(
@@ -75,20 +75,20 @@ _EXOME = "chr, pos, ref, alt, annotation, trait, mlog10p, beta"
     "coloc_in_region",
     "colocalization",
     """SELECT dataset1, dataset2, trait1, trait2, region_start_min, region_end_max, PP_H4_abf FROM colocalization
-WHERE chr = 3 AND region_start_min <= 200000 AND region_end_max >= 100000""",
+WHERE chr = 3 AND region_start_min <= 25000 AND region_end_max >= 5000""",
 )
 def coloc_in_region(t: Inputs):
-    found = lookups.in_region(t("colocalization"), 3, 100_000, 200_000, "region_start_min", "region_end_max")
+    found = lookups.in_region(t("colocalization"), 3, 5_000, 25_000, "region_start_min", "region_end_max")
     return found.select("dataset1", "dataset2", "trait1", "trait2", "region_start_min", "region_end_max", "PP_H4_abf")
 
 
 @query(
     "variants_in_region",
     "credible_sets",
-    "SELECT dataset, cs_id, pos, ref, alt, pip FROM credible_sets WHERE chr = 3 AND pos BETWEEN 100000 AND 200000",
+    "SELECT dataset, cs_id, pos, ref, alt, pip FROM credible_sets WHERE chr = 3 AND pos BETWEEN 5000 AND 25000",
 )
 def variants_in_region(t: Inputs):
-    found = lookups.in_region(t("credible_sets"), 3, 100_000, 200_000, "pos")
+    found = lookups.in_region(t("credible_sets"), 3, 5_000, 25_000, "pos")
     return found.select("dataset", "cs_id", "pos", "ref", "alt", "pip")
 
 

@@ -12,10 +12,9 @@ SOURCES = ("region", "nation", "lineitem", "orders", "part")
 
 _REF = "CASE l_linenumber % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'C' WHEN 2 THEN 'G' ELSE 'T' END"
 _ALT = "CASE l_linenumber % 4 WHEN 0 THEN 'G' WHEN 1 THEN 'T' WHEN 2 THEN 'A' ELSE 'C' END"
-_SITE = f"l_partkey % 24 + 1 AS chr, l_orderkey % 500 * 1000 + l_linenumber AS pos, {_REF} AS ref"
+_SITE = f"l_partkey % 24 + 1 AS chr, l_orderkey * 8 + l_linenumber AS pos, {_REF} AS ref"
 _PEAK = (
-    "'chr' || CAST({k} % 24 + 1 AS STRING) || '-' || CAST({k} % 500 * 1000 AS STRING) || '-' "
-    "|| CAST({k} % 500 * 1000 + 500 AS STRING)"
+    "'chr' || CAST({k} % 24 + 1 AS STRING) || '-' || CAST({k} * 250 AS STRING) || '-' || CAST({k} * 250 + 500 AS STRING)"
 )
 
 # Data set and data type of group key modulo 13; group 11 stands for a collection of many data sets.
@@ -36,9 +35,10 @@ def _data_type(key: str) -> str:
     )
 
 
-_LINE = "l_partkey % 312"
-_SIDE1 = "o_custkey % 312"
-_SIDE2 = "(o_custkey + 24 * (o_orderkey % 13)) % 312"
+# Groups have full keys, so their number grows with the data and their size does not.
+_LINE = "l_partkey"
+_SIDE1 = "o_custkey"
+_SIDE2 = "(o_custkey + 24 * (o_orderkey % 13))"
 
 STANDINS: dict[str, str] = {
     "credible_sets": f"""
@@ -65,11 +65,11 @@ SELECT {_dataset(_SIDE1)} AS dataset1, {_dataset(_SIDE2)} AS dataset2,
   CASE WHEN o_orderkey % 3 = 0 THEN 'l1.B' END AS cell_type1, CASE WHEN o_orderkey % 4 = 0 THEN 'l1.Mono' END AS cell_type2,
   CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE 'G' || CAST({_SIDE2} AS STRING) END AS trait2,
   'CS' || CAST({_SIDE1} AS STRING) AS cs1_id, 'CS' || CAST({_SIDE2} AS STRING) AS cs2_id,
-  CAST(o_custkey % 24 + 1 AS STRING) || ':' || CAST(o_orderkey % 500 * 1000 AS STRING) || ':A:G' AS hit1,
-  CASE o_orderkey % 50 WHEN 0 THEN 'bad' WHEN 1 THEN '2:bad:A:G' ELSE CAST(o_custkey % 24 + 1 AS STRING) || ':' || CAST(o_orderkey * 3 % 500 * 1000 AS STRING) || ':A:G' END AS hit2,
+  CAST(o_custkey % 24 + 1 AS STRING) || ':' || CAST(o_orderkey * 8 AS STRING) || ':A:G' AS hit1,
+  CASE o_orderkey % 50 WHEN 0 THEN 'bad' WHEN 1 THEN '2:bad:A:G' ELSE CAST(o_custkey % 24 + 1 AS STRING) || ':' || CAST({_SIDE2} * 250 + o_orderkey % 1000 * 400 AS STRING) || ':A:G' END AS hit2,
   o_totalprice / 1e6 AS hit1_beta, o_totalprice / 1e4 AS hit1_mlog10p, CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice / 2e6 END AS hit2_beta,
   CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE o_totalprice / 2e4 END AS hit2_mlog10p,
-  o_custkey % 24 + 1 AS chr, o_orderkey % 500 * 1000 AS region_start_min, o_orderkey % 500 * 1000 + 5000 AS region_end_max,
+  o_custkey % 24 + 1 AS chr, o_orderkey * 8 AS region_start_min, o_orderkey * 8 + 500 + o_custkey % 50 * 200 AS region_end_max,
   CAST(o_orderkey % 10 AS DOUBLE) / 1e4 AS PP_H0_abf, CAST(o_orderkey % 11 AS DOUBLE) / 1e4 AS PP_H1_abf,
   CAST(o_orderkey % 12 AS DOUBLE) / 1e4 AS PP_H2_abf, CAST(o_orderkey % 14 AS DOUBLE) / 1e4 AS PP_H3_abf,
   CAST(o_orderkey * 13 % 1000 AS DOUBLE) / 1e3 AS PP_H4_abf,
@@ -91,9 +91,9 @@ SELECT CASE WHEN l_suppkey % 3 = 0 THEN 'IBD_exome' ELSE 'genebass' END AS datas
 FROM lineitem""",
     "gene_burden_results": """
 SELECT CASE o_custkey % 4 WHEN 0 THEN 'genebass' WHEN 1 THEN 'BipEx2' WHEN 2 THEN 'IBD_exome' ELSE 'SCHEMA2' END AS dataset,
-  'T' || CAST(o_custkey % 50 AS STRING) AS trait, 'G' || CAST(o_custkey % 312 AS STRING) AS gene,
-  'ENSG' || lpad(CAST(o_custkey % 312 AS STRING), 11, '0') AS gene_id, o_custkey % 24 + 1 AS chr,
-  o_custkey % 500 * 1000 AS gene_start_pos, o_custkey % 500 * 1000 + 900 AS gene_end_pos,
+  'T' || CAST(o_custkey % 50 AS STRING) AS trait, 'G' || CAST(o_custkey AS STRING) AS gene,
+  'ENSG' || lpad(CAST(o_custkey AS STRING), 11, '0') AS gene_id, o_custkey % 24 + 1 AS chr,
+  o_custkey * 250 AS gene_start_pos, o_custkey * 250 + 900 AS gene_end_pos,
   CASE o_orderkey % 3 WHEN 0 THEN 'pLoF' WHEN 1 THEN 'missense' ELSE 'nonsynonymous' END AS annotation,
   o_totalprice / 5e4 AS mlog10p_burden, CASE WHEN o_orderkey % 9 = 0 THEN 0e0 ELSE 2e-1 END AS beta,
   CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE 1e-1 END AS se,
@@ -106,13 +106,13 @@ SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'deCODE_asmQTL_CpG' ELSE 'deCODE_asmQTL_
   CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE {_ALT} END AS alt, 'rs' || CAST(l_orderkey AS STRING) AS rsid,
   l_discount - 5e-2 AS beta, l_tax + 1e-2 AS se, l_discount * 1e1 AS af, l_quantity AS mlog10p,
   CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE 'intron_variant' END AS most_severe, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE 'G' || CAST({_LINE} AS STRING) END AS gene_most_severe,
-  l_orderkey % 500 * 1000 AS target_start, l_orderkey % 500 * 1000 + 900 AS target_end, l_tax * 5e0 AS ref_methylrate, l_discount * 5e0 AS alt_methylrate,
+  l_orderkey * 8 AS target_start, l_orderkey * 8 + 900 AS target_end, l_tax * 5e0 AS ref_methylrate, l_discount * 5e0 AS alt_methylrate,
   l_orderkey % 7000 AS n_haplotypes, CASE WHEN l_linenumber = 1 THEN 'primary' ELSE 'secondary' END AS variant_rank,
   CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_orderkey % 30 END AS ld_count, CASE WHEN l_linenumber % 5 = 0 THEN 'INDEL' ELSE 'SNP' END AS vartype
 FROM lineitem""",
     "open_chromatin_raw": """
 SELECT CASE p_partkey % 28 WHEN 22 THEN 'chrX' WHEN 23 THEN 'Y' WHEN 24 THEN 'chrM' WHEN 25 THEN 'mt' WHEN 26 THEN 'GL000220.1' WHEN 27 THEN CAST(p_partkey % 29 AS STRING) ELSE 'chr' || CAST(p_partkey % 28 + 1 AS STRING) END AS chrom,
-  p_partkey % 500 * 1000 AS peak_start, p_partkey % 500 * 1000 + 500 AS peak_end,
+  p_partkey * 250 AS peak_start, p_partkey * 250 + 200 + p_size % 10 * 150 AS peak_end,
   CASE p_partkey % 6 WHEN 0 THEN 'marderstein_open_chromatin' WHEN 1 THEN 'li_brain_open_chromatin' WHEN 2 THEN 'catlas_open_chromatin' WHEN 3 THEN 'epimap_open_chromatin' WHEN 4 THEN 'calderon_open_chromatin' ELSE 'rosmap_open_chromatin' END AS dataset,
   CASE p_size % 3 WHEN 0 THEN 'brain' WHEN 1 THEN 'heart' ELSE 'immune' END AS tissue,
   CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_retailprice END AS score,
@@ -120,7 +120,7 @@ SELECT CASE p_partkey % 28 WHEN 22 THEN 'chrX' WHEN 23 THEN 'Y' WHEN 24 THEN 'ch
   CASE WHEN p_size % 2 = 0 THEN 'adult' ELSE 'fetal' END AS life_stage, CASE WHEN p_size % 3 = 0 THEN 'stimulated' END AS condition,
   'ATAC-seq' AS assay, CASE WHEN p_size % 4 = 0 THEN NULL ELSE 'signal' END AS score_type, CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_partkey % 900 END AS n_cells,
   'CL:' || lpad(CAST(p_size AS STRING), 7, '0') AS cell_ontology_id, CASE WHEN p_size % 2 = 0 THEN 'UBERON:' || lpad(CAST(p_size AS STRING), 7, '0') END AS uberon_id,
-  CASE WHEN p_size % 3 = 0 THEN 'G' || CAST(p_partkey % 312 AS STRING) END AS target_gene, CASE WHEN p_size % 3 = 0 THEN 'ENSG' || lpad(CAST(p_partkey % 312 AS STRING), 11, '0') END AS target_gene_id,
+  CASE WHEN p_size % 3 = 0 THEN 'G' || CAST(p_partkey AS STRING) END AS target_gene, CASE WHEN p_size % 3 = 0 THEN 'ENSG' || lpad(CAST(p_partkey AS STRING), 11, '0') END AS target_gene_id,
   'v1' AS version
 FROM part""",
     "variant_annotation": """
@@ -157,9 +157,9 @@ SELECT CAST(6 AS BIGINT) AS chr, 30000000 + o_custkey % 3 * 1000000 AS pos,
 FROM orders""",
     "peak_to_gene_raw": f"""
 SELECT 'chr' || CASE WHEN p_partkey % 24 = 22 THEN 'X' WHEN p_partkey % 24 = 23 THEN 'Y' ELSE CAST(p_partkey % 24 + 1 AS STRING) END AS chrom,
-  p_partkey % 500 * 1000 AS peak_start, p_partkey % 500 * 1000 + 500 AS peak_end, {_PEAK.format(k="p_partkey")} AS peak_id,
-  'G' || CAST(p_partkey * 3 % 312 AS STRING) AS symbol, 'predicted.celltype.' || CASE p_size % 3 WHEN 0 THEN 'l1.B' WHEN 1 THEN 'l1.CD4_T' ELSE 'l1.Mono' END AS cell_type,
-  'FinnGen_ATACseq' AS dataset, 'ENSG' || lpad(CAST(p_partkey * 3 % 312 AS STRING), 11, '0') AS gene_id,
+  p_partkey * 250 AS peak_start, p_partkey * 250 + 500 AS peak_end, {_PEAK.format(k="p_partkey")} AS peak_id,
+  'G' || CAST(p_partkey * 3 AS STRING) AS symbol, 'predicted.celltype.' || CASE p_size % 3 WHEN 0 THEN 'l1.B' WHEN 1 THEN 'l1.CD4_T' ELSE 'l1.Mono' END AS cell_type,
+  'FinnGen_ATACseq' AS dataset, 'ENSG' || lpad(CAST(p_partkey * 3 AS STRING), 11, '0') AS gene_id,
   p_partkey % 9000 AS total_cell_num, p_partkey % 800 AS expr_cell_num, CASE WHEN p_size % 6 = 0 THEN NULL ELSE p_partkey % 700 END AS open_cell_num,
   p_retailprice / 1e4 AS hurdle_zero_beta, p_retailprice / 1e5 AS hurdle_zero_se, p_retailprice / 1e3 AS hurdle_zero_z, p_retailprice / 5e2 AS hurdle_zero_nlog10p,
   p_retailprice / 2e4 AS hurdle_count_beta, p_retailprice / 2e5 AS hurdle_count_se, p_retailprice / 2e3 AS hurdle_count_z,
@@ -173,7 +173,7 @@ FROM part""",
     "gencode": """
 SELECT CASE WHEN p_size > 7 THEN 'ENSG' ELSE 'ENSX' END || lpad(CAST(p_partkey AS STRING), 11, '0') || '.9' AS gene_id,
   CASE p_partkey % 24 WHEN 22 THEN 'chrX' WHEN 23 THEN 'chrY' ELSE 'chr' || CAST(p_partkey % 24 + 1 AS STRING) END AS chrom,
-  CAST(p_partkey % 500 * 1000 AS STRING) AS gene_start, CAST(p_partkey % 500 * 1000 + p_size * 100 AS STRING) AS gene_end,
+  CAST(p_partkey * 250 AS STRING) AS gene_start, CAST(p_partkey * 250 + p_size * p_size * 20 AS STRING) AS gene_end,
   CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS gene_strand
 FROM part""",
     "gene_has_family": """
