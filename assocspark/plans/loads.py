@@ -42,6 +42,20 @@ def scan_tsv(t: Inputs):
     return text.load_frame(t.spark, "coloc_credsets", path)
 
 
+@query(
+    "scan_quoted",
+    "coloc_credsets",
+    """SELECT * REPLACE ('a "' || trait_original || '"' || chr(10) || trait AS trait_original) FROM coloc_credsets""",
+)
+def scan_quoted(t: Inputs):
+    """Plain text files whose quoted fields hold quotes and line ends."""
+    path, rows = f"{t.scratch()}/coloc_credsets", t("coloc_credsets")
+    odd = F.concat(F.lit('a "'), "trait_original", F.lit('"\n'), "trait")
+    shown = as_text(rows.withColumn("trait_original", odd))
+    shown.write.options(sep="\t", header=True, emptyValue="", escape='"').csv(path)
+    return text.load_frame(t.spark, "coloc_credsets", path, quoted_newlines=True, split_bytes=1 << 20)
+
+
 @query("scan_glob", "gene_burden_results", "SELECT * FROM gene_burden_results")
 def scan_glob(t: Inputs):
     base = write_tsv(t("gene_burden_results"), f"{t.scratch()}/per_trait", by="trait")

@@ -215,7 +215,7 @@ def resource_filter(t: Inputs):
 @query(
     "sample_rows",
     "credible_sets",
-    "SELECT CAST(10 AS BIGINT) AS n_rows, CAST(10 AS BIGINT) AS n_in_view",
+    """SELECT count(*) AS n_rows, count(*) AS n_in_view FROM (SELECT * FROM credible_sets LIMIT 10)""",
 )
 def sample_rows(t: Inputs):
     """Any rows will do, so the answer is how many there are, and how many of them the view has."""
@@ -237,4 +237,36 @@ FROM colocalization WHERE PP_H4_abf > 5e-1 ORDER BY PP_H4_abf DESC, dataset1, da
 def capped_result(t: Inputs):
     columns = ["dataset1", "dataset2", "hit1", "hit2", "PP_H4_abf"]
     answer = lookups.strong_colocalizations(t("colocalization"), 0.5).select(*columns)
-    return results.capped(answer.orderBy(F.col("PP_H4_abf").desc(), *columns[:-1]), 200)
+    return results.capped(answer, 200, [F.col("PP_H4_abf").desc(), *columns[:-1]])
+
+
+@query(
+    "empty_answer",
+    "colocalization",
+    """SELECT CAST(NULL AS VARCHAR) AS dataset1, CAST(NULL AS VARCHAR) AS hit1, count(*) AS total_rows, count(*) > 200 AS truncated
+FROM colocalization WHERE PP_H4_abf > 2""",
+)
+def empty_answer(t: Inputs):
+    """No rows, but a total of none."""
+    found = lookups.strong_colocalizations(t("colocalization"), 2.0)
+    return results.capped(found.select("dataset1", "hit1"), 200)
+
+
+_GENES_SQL = """SELECT v.resource, v.gene_most_severe, count(*) AS n_variants, count(DISTINCT v.variant) AS n_sites, max(v.maf) AS top_maf,
+  g.download_date FROM {credible_sets} v JOIN gene_annotations g ON g.symbol = v.gene_most_severe AND g.chr = v.chr
+WHERE v.pip > 5e-1 GROUP BY v.resource, v.gene_most_severe, g.download_date"""
+_GENES_ORDER = "n_variants DESC, gene_most_severe, resource"
+
+
+@query(
+    "sql_answer",
+    "credible_sets gene_annotations",
+    f"""SELECT *, count(*) OVER () AS total_rows, count(*) OVER () > 150 AS truncated
+FROM ({_GENES_SQL.format(credible_sets=f"(SELECT *, {resource_sql('credible_sets')} AS resource, least(aaf, 1 - aaf) AS maf, chr || ':' || pos || ':' || ref || ':' || alt AS variant FROM credible_sets)")})
+ORDER BY {_GENES_ORDER} LIMIT 150""",
+)
+def sql_answer(t: Inputs):
+    """SQL text over views, by view and by base name, with cap, total and flag."""
+    frames = {name: t(name) for name in ("credible_sets", "gene_annotations")}
+    order = [F.col("n_variants").desc(), "gene_most_severe", "resource"]
+    return results.ask(t.spark, frames, _GENES_SQL.format(credible_sets="credible_sets_v"), 150, order)

@@ -31,7 +31,8 @@ def file_system(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def _open(uri: str):
+def opened(uri: str):
+    """A readable file of a URI as Spark writes it."""
     system, path = file_system(uri)
     return system.open_input_file(path)
 
@@ -67,6 +68,14 @@ def _first_block(source, start: int, size: int) -> int:
     return size
 
 
+def block_texts(source, start: int, size: int) -> Iterator[tuple[int, bytes]]:
+    """(offset, text) of the blocks from the first one at or after ``start`` on."""
+    source.seek(0)
+    if _block_size(source.read(64)) is None:
+        raise ValueError("not a block-gzip file; read plain gzip with block_gzip=False")
+    return _texts(source, _first_block(source, start, size), size)
+
+
 def _texts(source, offset: int, size: int) -> Iterator[tuple[int, bytes]]:
     """(offset of the block, text of the block), to the end of the file."""
     while offset < size:
@@ -81,11 +90,9 @@ def _texts(source, offset: int, size: int) -> Iterator[tuple[int, bytes]]:
 
 def _chunks(source, start: int, end: int, size: int) -> Iterator[bytes]:
     """Runs of whole lines that begin in blocks whose offset lies in [start, end)."""
-    if _block_size(source.read(64)) is None:
-        raise ValueError("not a block-gzip file; read plain gzip with block_gzip=False")
     # The split before owns the line that runs into this one, so the first piece is its own.
     rest, skipping, kept, held = b"", start > 0, [], 0
-    for offset, text in _texts(source, _first_block(source, start, size), size):
+    for offset, text in block_texts(source, start, size):
         if offset >= end:
             if skipping:
                 return
@@ -128,20 +135,8 @@ def _read_ranges(opened: Callable):
     return read
 
 
-def read_bgzf_lines(
-    spark: SparkSession,
-    paths: str | list[str],
-    skip_leading_rows: int = 1,
-    split_bytes: int = SPLIT_BYTES,
-    opened: Callable = _open,
-) -> DataFrame:
-    """Lines of block-gzip files as a ``value`` column, about one task per ``split_bytes`` of input.
-
-    The first ``skip_leading_rows`` lines of each file are dropped; they must lie in its first few megabytes. Fields
-    cannot hold newlines, as in any position-indexed text file. Python only unpacks blocks, Spark splits lines.
-    ``opened`` turns a path, as Spark spells it, into a readable file; give one for file systems that
-    pyarrow does not know by scheme, or that need credentials.
-    """
+def byte_ranges(spark: SparkSession, paths: str | list[str], split_bytes: int) -> tuple[DataFrame, int]:
+    """Ranges (path, length, start, end) of the files, and how many tasks they are worth."""
     paths = [paths] if isinstance(paths, str) else paths
     # Only path and length are selected, so the listing reads no file content.
     listed = spark.read.format("binaryFile").load(paths)
@@ -154,6 +149,24 @@ def read_bgzf_lines(
     # them into one task. The planner knows the size of the files from listing them.
     size = int(listed._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     tasks = size // split_bytes + len(listed.inputFiles()) + 1
+    return ranges, tasks
+
+
+def read_bgzf_lines(
+    spark: SparkSession,
+    paths: str | list[str],
+    skip_leading_rows: int = 1,
+    split_bytes: int = SPLIT_BYTES,
+    opened: Callable = opened,
+) -> DataFrame:
+    """Lines of block-gzip files as a ``value`` column, about one task per ``split_bytes`` of input.
+
+    The first ``skip_leading_rows`` lines of each file are dropped; they must lie in its first few megabytes. Fields
+    cannot hold newlines here; ``quoted.read_records`` allows them. Python only unpacks blocks, Spark splits lines.
+    ``opened`` turns a path, as Spark spells it, into a readable file; give one for file systems that
+    pyarrow does not know by scheme, or that need credentials.
+    """
+    ranges, tasks = byte_ranges(spark, paths, split_bytes)
     chunks = ranges.repartition(tasks, "path", "start").mapInPandas(_read_ranges(opened), "chunk string, first boolean")
     lines = F.split("chunk", "\n")
     kept = F.when(F.col("first"), F.slice(lines, skip_leading_rows + 1, F.greatest(F.size(lines) - skip_leading_rows, F.lit(0)))).otherwise(lines)

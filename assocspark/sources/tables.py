@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,9 @@ FILE_DATASETS = {
 }
 
 
+_PUBLISHED = "_published"  # folder of the versions of an owned table; readers of Parquet skip such names
+
+
 def _has_rows(spark: SparkSession, table: str, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -156,34 +160,101 @@ def replace_rows(old: DataFrame, owned: Column, new: DataFrame, table: str, path
     return write_table(new, table, path, "WRITE_APPEND")
 
 
-def _renamed(spark: SparkSession, source: str, target: str) -> None:
-    """Put a folder in the place of another one."""
-    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
-    system = paths[0].getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(paths[1].getParent())
-    system.delete(paths[1], True)
-    if not system.rename(*paths):
-        raise OSError(f"cannot move {source} to {target}")
+def _files(spark: SparkSession, path: str):
+    """The file context of a path, and a maker of Hadoop paths."""
+    new = spark._jvm.org.apache.hadoop.fs.Path
+    return spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(new(path).toUri(), spark._jsc.hadoopConfiguration()), new
 
 
-def replace_owned(new: DataFrame, owner: str, table: str, path: str) -> int:
-    """Replace all rows of one owner in a table that has a partition level ``owner`` above its own.
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Published versions of an owned table, oldest first."""
+    files, new = _files(spark, path)
+    place = new(f"{path}/{_PUBLISHED}")
+    if not files.util().exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.util().listStatus(place)]
+    return sorted(n for n in names if n.startswith("v"))
 
-    The new rows are written beside the table, in a folder that readers do not see, and take the place
-    of the owner's partition when they are complete. No row or file of another owner is read or written, and
-    data sets the owner no longer has go with the partition.
-    """
-    staged = f"{path}/_staged-{uuid.uuid4().hex}"
-    written = write_table(new, table, staged)
-    _renamed(new.sparkSession, staged, f"{path}/owner={owner}")
-    return written
 
+def _loads(spark: SparkSession, path: str, version: str) -> dict[str, str]:
+    """Owner -> its load in a version."""
+    lines = spark.read.text(f"{path}/{_PUBLISHED}/{version}").collect()  # a line for each owner
+    return dict(line["value"].split("\t") for line in lines)
 
-def read_owned(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """A table with owners, in registry order; ``owner`` comes last and is a partition column."""
+
+def _publish(spark: SparkSession, path: str, version: str, loads: dict[str, str]) -> None:
+    """Write a version whole beside its place, then move it there, which fails if the version has been taken."""
+    files, new = _files(spark, path)
+    staged, target = (new(f"{path}/{_PUBLISHED}/{name}") for name in (f"_{uuid.uuid4().hex}", version))
+    make = spark._jvm.java.util.EnumSet.of(spark._jvm.org.apache.hadoop.fs.CreateFlag.CREATE)
+    no_options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.CreateOpts, 1)
+    no_options[0] = spark._jvm.org.apache.hadoop.fs.Options.CreateOpts.createParent()
+    out = files.create(staged, make, no_options)
+    out.write("".join(f"{owner}\t{load}\n" for owner, load in sorted(loads.items())).encode())
+    out.close()
+    keep = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    files.rename(staged, target, keep)
+
+
+def replace_owned(new: DataFrame, owner: str, table: str, path: str) -> int:
+    """Replace all rows of one owner; returns the new rows. Readers never see a part of it.
+
+    Each load is a folder of its own, ``owner=<owner>/load=<id>``, and a published version is one small file that names the
+    load of each owner. The new rows are written first, then a version with the new load is moved into place, as one rename: until
+    then every reader finds the old rows, and a writer that fails leaves them as they are. Two writers cannot publish
+    the same version; the later one takes up the other's load and tries again. No row or file of another owner is
+    read or written. ``vacuum_owned`` removes what no version names any more.
+    """
+    if "/" in owner or "\t" in owner or not owner:
+        raise ValueError(f"not a name for an owner: {owner!r}")
+    spark, load = new.sparkSession, uuid.uuid4().hex
+    written = write_table(new, table, f"{path}/owner={owner}/load={load}")
+    while True:
+        versions = _versions(spark, path)
+        loads = _loads(spark, path, versions[-1]) if versions else {}
+        version = f"v{int(versions[-1][1:]) + 1 if versions else 1:012d}"
+        try:
+            _publish(spark, path, version, loads | {owner: load})
+            return written
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+
+
+def read_owned(spark: SparkSession, table: str, path: str, version: str | None = None) -> DataFrame:
+    """A version of a table with owners, the last one by default, in registry order; ``owner`` comes last and is a partition column.
+
+    A frame keeps the version it was made from, also when another one is published before it runs.
+    """
     schema = registered(table).schema
     kept = T.StructType([*schema, T.StructField("owner", T.StringType())])
-    return spark.read.schema(kept).parquet(path).select(*kept.names)
+    versions = _versions(spark, path)
+    if not versions:
+        return spark.createDataFrame([], kept)
+    loads = _loads(spark, path, version or versions[-1])
+    stored = T.StructType([*kept, T.StructField("load", T.StringType())])
+    folders = [f"{path}/owner={owner}/load={load}" for owner, load in loads.items()]
+    return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*kept.names)
+
+
+def vacuum_owned(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Remove versions but the last ``keep``, and loads that none of these names; returns the loads removed.
+
+    Run it when no reader of older versions and no writer is left.
+    """
+    if keep < 1:
+        raise ValueError("at least the last version must be kept")
+    files, new = _files(spark, path)
+    versions, removed = _versions(spark, path), 0
+    named = {(o, n) for v in versions[-keep:] for o, n in _loads(spark, path, v).items()}
+    for version in versions[:-keep]:
+        files.delete(new(f"{path}/{_PUBLISHED}/{version}"), False)
+    for owner in files.util().listStatus(new(path)):
+        name = owner.getPath().getName()
+        for load in files.util().listStatus(owner.getPath()) if name.startswith("owner=") else []:
+            if (name.removeprefix("owner="), load.getPath().getName().removeprefix("load=")) not in named:
+                removed += files.delete(load.getPath(), True)
+    return removed
 
 
 def create_tables(spark: SparkSession, database: str, tables: list[str] | None = None, recreate: bool = False) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from assocspark.functions import clean
 from assocspark.schemas import CHROM_TEXT_TABLES, JSON_TABLES, PREFIXED_CELL_TYPE_TABLES, table as registered
 from assocspark.sources.bgzf import read_bgzf_lines
+from assocspark.sources.quoted import CODECS, SPLIT_BYTES, read_records
 
 # A text no field holds: with it Spark's own NULL mapping stays out of the way, so an empty
 # STRING field stays empty and only the marker becomes NULL.
@@ -35,6 +37,18 @@ def _drop_leading(rows: int):
     return drop
 
 
+def _by_codec(spark: SparkSession, paths: str | list[str]) -> tuple[list[str], list[str]]:
+    """The files that a codec keeps whole, and those that can be cut. Only names are read."""
+    paths = [paths] if isinstance(paths, str) else paths
+    names = [unquote(n) for n in spark.read.format("binaryFile").load(paths).inputFiles()]
+    return [n for n in names if n.endswith(CODECS)], [n for n in names if not n.endswith(CODECS)]
+
+
+def _parsed(records: DataFrame, text: T.StructType, options: dict[str, str]) -> DataFrame:
+    ddl = ", ".join(f"`{name}` string" for name in text.names)
+    return records.select(F.from_csv("value", ddl, options).alias("fields")).select("fields.*")
+
+
 def read_fields(
     spark: SparkSession,
     paths: str | list[str],
@@ -42,11 +56,13 @@ def read_fields(
     skip_leading_rows: int = 1,
     quoted_newlines: bool = False,
     block_gzip: bool = False,
+    split_bytes: int = SPLIT_BYTES,
+    whole_files: bool = False,
 ) -> DataFrame:
     """Every field as text, by position. Short or long rows fail the job.
 
-    Spark splits plain files; gzip files are one task each. ``quoted_newlines`` allows line ends inside
-    quoted fields and reads each file as a whole in one task. Block-gzip files are split at their blocks.
+    Spark splits plain files; gzip files are one task each. Block-gzip files are split at their blocks. ``quoted_newlines`` allows line
+    ends inside quoted fields; plain and block-gzip files are still read in parallel then, at the price of a pass that counts quotes.
     """
     text = _text_schema(schema)
     options = {
@@ -55,12 +71,18 @@ def read_fields(
         "mode": "FAILFAST",
         "nullValue": _NO_NULL_TEXT,
     }
+    if quoted_newlines and not block_gzip:
+        whole, cut = _by_codec(spark, paths)
+        if cut:
+            records = read_records(spark, cut, skip_leading_rows, split_bytes=split_bytes)
+            rest = [read_fields(spark, whole, schema, skip_leading_rows, whole_files=True)] if whole else []
+            return reduce(DataFrame.unionByName, [_parsed(records, text, options), *rest])
     if block_gzip:
-        lines = read_bgzf_lines(spark, paths, skip_leading_rows)
-        ddl = ", ".join(f"`{name}` string" for name in text.names)
-        return lines.select(F.from_csv("value", ddl, options).alias("fields")).select("fields.*")
+        reader = read_records if quoted_newlines else read_bgzf_lines
+        extra = {"block_gzip": True} if quoted_newlines else {}
+        return _parsed(reader(spark, paths, skip_leading_rows, split_bytes=split_bytes, **extra), text, options)
     reader = spark.read.schema(text).options(
-        **options, multiLine=quoted_newlines, header=skip_leading_rows == 1, enforceSchema=True
+        **options, multiLine=quoted_newlines or whole_files, header=skip_leading_rows == 1, enforceSchema=True
     )
     if skip_leading_rows <= 1:
         return reader.csv(paths)

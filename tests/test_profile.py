@@ -17,6 +17,28 @@ def rows(df):
     return [tuple(r) for r in df.collect()]
 
 
+def test_an_answer_is_computed_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(0, 10_000, 1, 7).mapInArrow(count, "id long")
+    for order in ([], [F.col("id").desc()]):
+        before = reads.value
+        found = results.capped(rows, 20, order).collect()
+        assert reads.value - before == 10_000 and len(found) == 20 and found[0]["total_rows"] == 10_000
+    assert results.capped(spark.range(30).limit(20).orderBy(F.col("id").desc()), 25).first()["total_rows"] == 20
+    views_before = {t.name for t in spark.catalog.listTables()}
+    frames = {"coloc_credsets": spark.createDataFrame([("FinnGen_R14", 1, 5, "A", "G", "CS1")], "dataset string, chr long, pos long, ref string, alt string, cs_id string")}
+    asked = results.ask(spark, frames, "SELECT resource, count(*) AS n FROM coloc_credsets_v GROUP BY resource", 10).collect()
+    assert asked == [("finngen", 1, 1, False)]
+    for name in {t.name for t in spark.catalog.listTables()} - views_before:
+        spark.catalog.dropTempView(name)
+
+
 def test_allowed_values_are_distinct_known_and_sorted(credible):
     found = rows(profile.allowed_values("credible_sets", credible, ["cell_type", "resource"]))
     assert found == [("cell_type", v) for v in "abc"] + [("resource", v) for v in ("qtd000001", "qtd000002", "ukbb")]
@@ -84,6 +106,9 @@ def test_caps(spark):
     assert {r["truncated"] for r in results.capped(answer, 25).collect()} == {False}
     assert results.capped_flag(answer, 24)[1] and not results.capped_flag(answer, 25)[1]
     assert results.answer(spark.sql("SELECT array(1L) AS a"), 5).collect() == [("[1]", 1, False)]
+    assert results.capped(answer.filter("id > 99"), 10).collect() == [(None, 0, False)]
+    assert [r["id"] for r in results.capped(answer, 3, [F.col("id").desc()]).collect()] == [24, 23, 22]
+    assert [r["id"] for r in results.capped(answer.orderBy(F.col("id") % 5, "id"), 6).collect()] == [0, 5, 10, 15, 20, 1]
     for bad in (0, -1, 100_001):
         with pytest.raises(ValueError):
             results.capped(answer, bad)

@@ -1,5 +1,6 @@
 import gzip
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from assocspark.plans.bgz_files import _block, write_bgzf
 from assocspark.schemas import TABLES
 from assocspark.sources import text
 from assocspark.sources.bgzf import read_bgzf_lines
+from assocspark.sources.quoted import read_records
 
 HLA = [c for c in TABLES["hla_associations"].columns if c != "dataset"]
 COLOC = TABLES["coloc_credsets"].columns
@@ -154,3 +156,47 @@ def test_block_gzip_writer_leaves_whole_files_only(spark, folder):
     assert write_bgzf(df, f"{folder}/out") == 10_000
     assert sorted(os.path.splitext(n)[1] for n in os.listdir(f"{folder}/out")) == [".bgz"] * 3
     assert read_bgzf_lines(spark, f"{folder}/out/*.bgz").count() == 10_000
+
+
+def quoted_lines(n):
+    """Rows with quoted line ends at every place, doubled quotes, and one field longer than many ranges."""
+    rng = random.Random(n)
+    for k in range(n):
+        value = rng.choice([f"p{k}", f'"p{k}\na"', f'"p{k}\n\n""x""\n"', f'"{k}\r\nb\tc"', f'"""{k}"', '""'])
+        yield hla(phenotype=f'"{"long line" + chr(10)}{"y" * 3_000}{chr(10) * 50}"' if k == n // 2 else value)
+
+
+@pytest.mark.parametrize("split", [37, 512, 4_000, 1 << 20])
+def test_quoted_newlines_over_ranges_equal_the_whole_file(spark, folder, split):
+    lines = list(quoted_lines(150))
+    for k, part in enumerate((lines[:100], lines[100:], [])):
+        put(f"{folder}/plain", part, f"f{k}.tsv")
+        put(f"{folder}/packed", part, f"f{k}.tsv.gz")
+    whole = load(spark, f"{folder}/packed", quoted_newlines=True)
+    cut = load(spark, f"{folder}/plain", quoted_newlines=True, split_bytes=split)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect())) and whole.count() == 150
+    both = load(spark, [f"{folder}/plain", f"{folder}/packed"], quoted_newlines=True, split_bytes=split)
+    assert both.count() == 300
+
+
+@pytest.mark.parametrize("block, split", [(50, 64), (700, 300), (700, 1 << 20)])
+def test_quoted_newlines_in_block_gzip(spark, folder, block, split):
+    lines = list(quoted_lines(60))
+    data = ("\n".join(["\t".join(HLA), *lines]) + "\n").encode()
+    with open(f"{folder}/f.bgz", "wb") as out:
+        for at in range(0, len(data), block):
+            out.write(_block(data[at : at + block]))
+        out.write(_block(b""))
+    whole = load(spark, put(folder, lines, "whole.tsv.gz"), quoted_newlines=True)
+    cut = load(spark, f"{folder}/f.bgz", quoted_newlines=True, block_gzip=True, split_bytes=split)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_quoted_file_is_read_by_many_tasks_without_a_final_line_end(spark, folder):
+    path = f"{folder}/one.tsv"
+    with open(path, "w") as out:
+        out.write("skip\nalso\n" + "\n".join(f'"{k}\n{"z" * 90}"\t{k}' for k in range(3_000)))
+    found = read_records(spark, path, skip_leading_rows=2, split_bytes=20_000)
+    tasks = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(t["count"] for t in tasks) == 3_000 and len(tasks) >= 8
+    assert {r[0].split("\t")[1] for r in found.collect()} == {str(k) for k in range(3_000)}

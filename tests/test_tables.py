@@ -137,3 +137,51 @@ def test_both_names_give_the_view(spark):
     assert views.base_name("mpra_v") == views.base_name("mpra") == "mpra"
     with pytest.raises(KeyError):
         views.base_name("nothing_v")
+
+
+def owned(spark, path):
+    return {(r["owner"], r["dataset"]): r["count"] for r in tables.read_owned(spark, "coloc_credsets", path).groupBy("owner", "dataset").count().collect()}
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, folder):
+    path = f"{folder}/t"
+    assert tables.read_owned(spark, "coloc_credsets", path).count() == 0
+    tables.replace_owned(coloc(spark, 5, "old"), "one", "coloc_credsets", path)
+    tables.replace_owned(coloc(spark, 3, "b"), "two", "coloc_credsets", path)
+    broken = coloc(spark, 4_000, "new").withColumn("pos", F.when(F.col("pos") > 3_000, F.raise_error(F.lit("midway")).cast("bigint")).otherwise(F.col("pos")))
+    with pytest.raises(Exception, match="midway"):
+        tables.replace_owned(broken, "one", "coloc_credsets", path)
+    assert owned(spark, path) == {("one", "old"): 5, ("two", "b"): 3}
+    tables.vacuum_owned(spark, path)  # and what the failed writer may have left goes
+    assert len(glob.glob(f"{path}/owner=*/load=*")) == 2
+    assert owned(spark, path) == {("one", "old"): 5, ("two", "b"): 3}
+
+
+def test_readers_keep_their_version_until_it_is_removed(spark, folder):
+    path = f"{folder}/t"
+    tables.replace_owned(coloc(spark, 5, "old"), "one", "coloc_credsets", path)
+    before = tables.read_owned(spark, "coloc_credsets", path)
+    assert tables.replace_owned(coloc(spark, 2, "new"), "one", "coloc_credsets", path) == 2
+    assert before.count() == 5 and owned(spark, path) == {("one", "new"): 2}
+    assert tables.read_owned(spark, "coloc_credsets", path, "v000000000001").count() == 5
+    assert tables.vacuum_owned(spark, path) == 1 and owned(spark, path) == {("one", "new"): 2}
+    plan = plan_of(tables.read_owned(spark, "coloc_credsets", path).filter("owner = 'one' AND chr = 1"))
+    assert "PartitionFilters: [isnotnull(chr" in plan or "owner" in plan.split("PartitionFilters")[1]
+
+
+def test_two_writers_do_not_lose_a_load(spark, folder, monkeypatch):
+    path, real, calls = f"{folder}/t", tables._publish, []
+    tables.replace_owned(coloc(spark, 1, "a"), "one", "coloc_credsets", path)
+
+    def overtaken(spark, path, version, loads):
+        calls.append(version)
+        if len(calls) == 1:  # another writer publishes first
+            monkeypatch.setattr(tables, "_publish", real)
+            tables.replace_owned(coloc(spark, 2, "b"), "two", "coloc_credsets", path)
+            monkeypatch.setattr(tables, "_publish", overtaken)
+        real(spark, path, version, loads)
+
+    monkeypatch.setattr(tables, "_publish", overtaken)
+    tables.replace_owned(coloc(spark, 3, "c"), "three", "coloc_credsets", path)
+    assert calls == ["v000000000002", "v000000000003"]
+    assert owned(spark, path) == {("one", "a"): 1, ("two", "b"): 2, ("three", "c"): 3}
