@@ -94,3 +94,39 @@ def resource(table: str, dataset: Column | str = "dataset", rules: Iterable[Rule
     if table in CONSTANT_RESOURCES:
         return F.lit(CONSTANT_RESOURCES[table])
     return resource_expr(rules_for(table, rules), dataset)
+
+
+def _signs(pattern: str) -> list[tuple[str, str]]:
+    """A pattern as signs: any number of characters, any one, or a given one."""
+    if pattern == "*":
+        return [("many", "")]
+    kinds = {"%": "many", "_": "one"} if "%" in pattern else {}
+    return [(kinds.get(c, "this"), c) for c in pattern.lower()]
+
+
+def covers(wider: str, narrower: str) -> bool:
+    """Whether every data set that the second pattern takes is taken by the first one, by the patterns alone."""
+    wide = _signs(wider)
+
+    def through(places: set[int]) -> set[int]:
+        """With the places that follow without taking a character."""
+        out = set(places)
+        for at in places:
+            while at < len(wide) and wide[at][0] == "many":
+                at += 1
+                out.add(at)
+        return out
+
+    reach = through({0})  # places in the wide pattern where a beginning of the narrow one can end
+    for kind, character in _signs(narrower):
+        stay = {at for at in reach if at < len(wide) and wide[at][0] == "many"}
+        fits = {("one", "_"), ("this", character)} if kind == "this" else {("one", "_")} if kind == "one" else set()
+        reach = through(stay | {at + 1 for at in reach if at < len(wide) and wide[at] in fits})
+    return len(wide) in reach
+
+
+def shadowed_by(rules: Iterable[Rule]) -> list[tuple[str, str]]:
+    """(rule, earlier rule that takes all it could) pairs: such a rule can never win."""
+    rules = list(rules)
+    pairs = ((rule, next((e for e in rules[:k] if covers(e.pattern, rule.pattern)), None)) for k, rule in enumerate(rules))
+    return [(rule.pattern, earlier.pattern) for rule, earlier in pairs if earlier is not None]

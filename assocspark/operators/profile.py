@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from assocspark.functions.resources import Rule, matched_rule, resource_expr
+from assocspark.functions.resources import Rule, matched_rule, resource_expr, shadowed_by
 from assocspark.operators.views import derive, derived_from
 from assocspark.schemas import DERIVED_COMMENTS, TABLES
 
@@ -100,6 +100,33 @@ def mapping_audit(df: DataFrame, rules: list[Rule], dataset: str = "dataset") ->
     )
 
 
+def rule_overlaps(df: DataFrame, rules: list[Rule], dataset: str = "dataset") -> DataFrame:
+    """For each rule: data sets and rows it could take, those it wins, the rules it loses to, and whether patterns alone rule it out.
+
+    Data sets are counted before rules are tried, so each is matched once. A rule that wins nothing here loses all its data sets to
+    earlier rules (``beaten_by``) or has none; ``shadowed_by`` names an earlier rule that takes whatever it could take, on any data.
+    """
+    tried = [(k, rule, F.lit(True) if rule.pattern == "*" else rule.matches(F.col(dataset))) for k, rule in enumerate(rules)]
+    counts = df.groupBy(dataset).agg(F.count(F.lit(1)).alias("rows")).filter(F.col(dataset).isNotNull())
+    taken = F.array_compact(F.array(*[F.when(match, F.lit(k)) for k, _, match in tried]))
+    each = counts.withColumn("taken", taken).withColumn("winner", F.get("taken", F.lit(0)))
+    each = each.select(dataset, "rows", "winner", F.explode("taken").alias("rule_no"))
+    won = F.col("winner") == F.col("rule_no")
+    found = each.groupBy("rule_no").agg(
+        F.count(F.lit(1)).alias("n_datasets"), F.sum("rows").alias("n_rows"), F.count_if(won).alias("n_won"),
+        F.array_sort(F.collect_set(F.when(~won, F.col("winner")))).alias("winners"),
+    )
+    shadows = dict(shadowed_by(rules))
+    names = F.array(*[F.lit(rule.pattern) for rule in rules])
+    listed = F.array(*[F.struct(F.lit(k).alias("rule_no"), F.lit(r.pattern).alias("rule"), F.lit(shadows.get(r.pattern)).alias("shadowed_by")) for k, r in enumerate(rules)])
+    every = df.sparkSession.range(1).select(F.inline(listed))
+    beaten = F.array_join(F.transform("winners", lambda w: F.get(names, w)), " ")
+    return every.join(found, "rule_no", "left").select(
+        "rule", F.coalesce("n_datasets", F.lit(0)).alias("n_datasets"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.coalesce("n_won", F.lit(0)).alias("n_won"), F.coalesce(beaten, F.lit("")).alias("beaten_by"), "shadowed_by",
+    )
+
+
 def required_violations(df: DataFrame, required: list[str]) -> DataFrame:
     """NULLs per required column, from one pass."""
     nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in required])

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from assocspark.operators import genes, intervals, joins, results
 from assocspark.plans.registry import Inputs, query
+from assocspark.sources import tables
 
 _WINDOW = 100_000
 
@@ -95,6 +98,33 @@ def coloc_members(t: Inputs):
     return joins.colocalized_members(t("colocalization"), t("coloc_credsets"))
 
 
+def _bucketed(t: Inputs, table: str, keys: list[str]):
+    """A stand-in as a bucketed table; its catalog entry goes again, its files are read."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    tables.write_bucketed(t(table), table, name, t.scratch(), keys, 16)
+    stored = t.spark.table(name)
+    t.spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
+@query("bucketed_members", "colocalization coloc_credsets", _MEMBER.format(side=1) + " UNION ALL " + _MEMBER.format(side=2))
+def bucketed_members(t: Inputs):
+    """The members, the larger side, are stored by set and not shuffled for the join."""
+    return joins.colocalized_members(t("colocalization"), _bucketed(t, "coloc_credsets", ["dataset", "cs_id"]))
+
+
+@query(
+    "bucketed_annotation",
+    "credible_sets variant_annotation",
+    """SELECT c.dataset, c.cs_id, c.chr, c.pos, c.ref, c.alt, c.pip, a.rsid, a.AF
+FROM credible_sets c JOIN variant_annotation a ON (a.chr, a.pos, a.ref, a.alt) = (c.chr, c.pos, c.ref, c.alt)""",
+)
+def bucketed_annotation(t: Inputs):
+    """Both sides are stored by site, so nothing is shuffled."""
+    variants = _bucketed(t, "credible_sets", list(joins.SITE)).select("dataset", "cs_id", *joins.SITE, "pip")
+    return joins.annotate_variants(variants, _bucketed(t, "variant_annotation", list(joins.SITE)), ["rsid", "AF"])
+
+
 @query(
     "annotate_variants",
     "credible_sets variant_annotation",

@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assocspark.functions.resources import rules_for
+from assocspark.functions.resources import Rule, rules_for
 from assocspark.operators import profile, views
 from assocspark.plans.projections import EXPECTED, resource_sql, rule_sql, view_sql
-from assocspark.plans.registry import Inputs, query
+from assocspark.plans.registry import Inputs, prepared, query
 from assocspark.schemas import DERIVED_COMMENTS, TABLES
 
 
@@ -102,6 +102,55 @@ def mapping_audit(t: Inputs):
     return reduce(DataFrame.unionByName, found)
 
 
+# The mapped tables with one more rule, which an earlier one shadows.
+_TRIED = {"credible_sets": "dataset", "coloc_credsets": "dataset", "open_chromatin": "dataset", "peak_to_gene": "dataset"}
+_EXTRA = Rule("finngen_hla%", "finngen")
+
+
+def _tried_rules(table: str) -> list[Rule]:
+    *named, rest = rules_for(table)
+    return [*named, _EXTRA, rest]
+
+
+def _overlap_sql(table: str, dataset: str) -> str:
+    """Check SQL: every data set against every pattern, the first match by row number."""
+    patterns = [*(pattern.lower() for pattern, _ in EXPECTED[table]), "finngen_hla%", "*"]
+    rows = ", ".join(f"({k}, '{p}')" for k, p in enumerate(patterns))
+    names = ", ".join(f"'{p}'" for p in patterns)
+    shadow = "CASE WHEN p.k < 0 THEN 'x' END" if "finngen%" not in patterns else "CASE WHEN p.pattern = 'finngen_hla%' THEN 'finngen%' END"
+    return f"""SELECT '{table}' AS table_name, p.pattern AS rule, count(m.d) AS n_datasets, CAST(coalesce(sum(m.n), 0) AS BIGINT) AS n_rows,
+  count(m.d) FILTER (m.k = m.w) AS n_won,
+  coalesce((SELECT string_agg(([{names}])[w + 1], ' ' ORDER BY w) FROM (SELECT DISTINCT o.w FROM matched_{table} o WHERE o.k = p.k AND o.w <> o.k)), '') AS beaten_by,
+  {shadow} AS shadowed_by
+FROM (VALUES {rows}) AS p(k, pattern) LEFT JOIN matched_{table} m ON m.k = p.k GROUP BY p.k, p.pattern"""
+
+
+def _matched_sql(table: str, dataset: str) -> str:
+    patterns = [*(pattern.lower() for pattern, _ in EXPECTED[table]), "finngen_hla%", "*"]
+    rows = ", ".join(f"({k}, '{p}')" for k, p in enumerate(patterns))
+    return f"""SELECT p.k, s.d, s.n, min(p.k) OVER (PARTITION BY s.d) AS w
+FROM (SELECT {dataset} AS d, count(*) AS n FROM {table} WHERE {dataset} IS NOT NULL GROUP BY 1) s JOIN (VALUES {rows}) AS p(k, pattern)
+  ON p.pattern = '*' OR CASE WHEN contains(p.pattern, '%') THEN lower(s.d) LIKE p.pattern ELSE lower(s.d) = p.pattern END"""
+
+
+for _name, _side in _TRIED.items():
+    prepared(f"matched_{_name}", _name, _matched_sql(_name, _side))(None)
+
+
+@query(
+    "rule_overlaps",
+    " ".join(f"matched_{name}" for name in _TRIED),
+    " UNION ALL ".join(_overlap_sql(name, side) for name, side in _TRIED.items()),
+)
+def rule_overlaps(t: Inputs):
+    """Rules that lose data sets to earlier ones, or can never win."""
+    found = []
+    for name, side in _TRIED.items():
+        each = profile.rule_overlaps(t(name), _tried_rules(name), side).withColumn("rule", F.lower("rule"))
+        found.append(each.select(F.lit(name).alias("table_name"), *each.columns))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _dictionary_sql(table: str) -> str:
     """Check SQL: non-NULL counts per column of the view, joined to declared types and modes."""
     spec = TABLES[table]

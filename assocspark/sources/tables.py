@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,6 +13,9 @@ from pyspark.sql import types as T
 from assocspark.schemas import TABLES, table as registered
 from assocspark.sources.text import enforce_required
 
+# What is done with the rows of a load, its owner and its id before it is published.
+Derive = Callable[[DataFrame, str, str], None]
+
 # What a write does to rows that are already there.
 WRITE_MODES = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite", "WRITE_EMPTY": "append"}
 
@@ -176,13 +180,20 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in names if n.startswith("v"))
 
 
-def _loads(spark: SparkSession, path: str, version: str) -> dict[str, str]:
-    """Owner -> its load in a version."""
-    lines = spark.read.text(f"{path}/{_PUBLISHED}/{version}").collect()  # a line for each owner
-    return dict(line["value"].split("\t") for line in lines)
+def published_loads(spark: SparkSession, path: str, version: str | None = None) -> list[tuple[str, str]]:
+    """(owner, load) pairs of a version, the last one by default."""
+    versions = _versions(spark, path)
+    if not versions:
+        return []
+    lines = spark.read.text(f"{path}/{_PUBLISHED}/{version or versions[-1]}").collect()  # a line for each load
+    return sorted(tuple(line["value"].split("\t")) for line in lines)
+
 
+def load_path(path: str, owner: str, load: str) -> str:
+    return f"{path}/owner={owner}/load={load}"
 
-def _publish(spark: SparkSession, path: str, version: str, loads: dict[str, str]) -> None:
+
+def _publish(spark: SparkSession, path: str, version: str, loads: list[tuple[str, str]]) -> None:
     """Write a version whole beside its place, then move it there, which fails if the version has been taken."""
     files, new = _files(spark, path)
     staged, target = (new(f"{path}/{_PUBLISHED}/{name}") for name in (f"_{uuid.uuid4().hex}", version))
@@ -190,31 +201,44 @@ def _publish(spark: SparkSession, path: str, version: str, loads: dict[str, str]
     no_options = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.CreateOpts, 1)
     no_options[0] = spark._jvm.org.apache.hadoop.fs.Options.CreateOpts.createParent()
     out = files.create(staged, make, no_options)
-    out.write("".join(f"{owner}\t{load}\n" for owner, load in sorted(loads.items())).encode())
+    out.write("".join(f"{owner}\t{load}\n" for owner, load in loads).encode())
     out.close()
     keep = spark._sc._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
     files.rename(staged, target, keep)
 
 
-def replace_owned(new: DataFrame, owner: str, table: str, path: str) -> int:
+def replace_owned(new: DataFrame, owner: str, table: str, path: str, derive: Derive | None = None) -> int:
     """Replace all rows of one owner; returns the new rows. Readers never see a part of it.
 
     Each load is a folder of its own, ``owner=<owner>/load=<id>``, and a published version is one small file that names the
     load of each owner. The new rows are written first, then a version with the new load is moved into place, as one rename: until
     then every reader finds the old rows, and a writer that fails leaves them as they are. Two writers cannot publish
     the same version; the later one takes up the other's load and tries again. No row or file of another owner is
-    read or written. ``vacuum_owned`` removes what no version names any more.
+    read or written. ``vacuum_owned`` removes what no version names any more. ``derive`` gets the rows just written, their owner
+    and load before they are published.
     """
+    return _add_load(new, owner, table, path, True, derive)
+
+
+def append_owned(new: DataFrame, owner: str, table: str, path: str, derive: Derive | None = None) -> int:
+    """Add a load to an owner's rows, published in the same way."""
+    return _add_load(new, owner, table, path, False, derive)
+
+
+def _add_load(new: DataFrame, owner: str, table: str, path: str, replace: bool, derive: Derive | None) -> int:
     if "/" in owner or "\t" in owner or not owner:
         raise ValueError(f"not a name for an owner: {owner!r}")
     spark, load = new.sparkSession, uuid.uuid4().hex
-    written = write_table(new, table, f"{path}/owner={owner}/load={load}")
+    written = write_table(new, table, load_path(path, owner, load))
+    if derive is not None:
+        derive(read_table(spark, table, load_path(path, owner, load)), owner, load)
     while True:
         versions = _versions(spark, path)
-        loads = _loads(spark, path, versions[-1]) if versions else {}
+        before = published_loads(spark, path, versions[-1]) if versions else []
+        kept = [pair for pair in before if not replace or pair[0] != owner]
         version = f"v{int(versions[-1][1:]) + 1 if versions else 1:012d}"
         try:
-            _publish(spark, path, version, loads | {owner: load})
+            _publish(spark, path, version, [*kept, (owner, load)])
             return written
         except Py4JJavaError as e:
             if "FileAlreadyExists" not in str(e.java_exception):
@@ -228,12 +252,11 @@ def read_owned(spark: SparkSession, table: str, path: str, version: str | None =
     """
     schema = registered(table).schema
     kept = T.StructType([*schema, T.StructField("owner", T.StringType())])
-    versions = _versions(spark, path)
-    if not versions:
+    loads = published_loads(spark, path, version)
+    if not loads:
         return spark.createDataFrame([], kept)
-    loads = _loads(spark, path, version or versions[-1])
     stored = T.StructType([*kept, T.StructField("load", T.StringType())])
-    folders = [f"{path}/owner={owner}/load={load}" for owner, load in loads.items()]
+    folders = [load_path(path, owner, load) for owner, load in loads]
     return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*kept.names)
 
 
@@ -246,7 +269,7 @@ def vacuum_owned(spark: SparkSession, path: str, keep: int = 1) -> int:
         raise ValueError("at least the last version must be kept")
     files, new = _files(spark, path)
     versions, removed = _versions(spark, path), 0
-    named = {(o, n) for v in versions[-keep:] for o, n in _loads(spark, path, v).items()}
+    named = {pair for v in versions[-keep:] for pair in published_loads(spark, path, v)}
     for version in versions[:-keep]:
         files.delete(new(f"{path}/{_PUBLISHED}/{version}"), False)
     for owner in files.util().listStatus(new(path)):
@@ -257,6 +280,19 @@ def vacuum_owned(spark: SparkSession, path: str, keep: int = 1) -> int:
     return removed
 
 
+def write_bucketed(df: DataFrame, table: str, identifier: str, path: str, keys: list[str], buckets: int) -> int:
+    """Save rows as a catalog table cut and sorted by join keys, one file for each bucket; returns the rows.
+
+    Joins on exactly these keys then read the table without shuffling or sorting it, however often. Adaptive execution cannot
+    split a bucket, so this is for keys that spread well; choose ``buckets`` so that one holds some hundred megabytes.
+    """
+    counted = Observation()
+    placed = described(df, table).repartition(buckets, *keys).sortWithinPartitions(*keys)
+    writer = placed.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    writer.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(identifier)
+    return counted.get["rows"]
+
+
 def create_tables(spark: SparkSession, database: str, tables: list[str] | None = None, recreate: bool = False) -> None:
     """Create catalog tables with comments and partitioning; ``recreate`` drops them first."""
     for name in tables or list(TABLES):

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assocspark.operators import joins
+from assocspark.sources import tables
 from conftest import plan_of
 
 
@@ -106,3 +107,32 @@ def test_links_of_one_gene_prune_the_chromosomes_of_the_credible_sets(spark, fol
     found = joins.caqtl_to_gene(stored, links, same_chr=True)
     assert "dynamicpruning" in plan_of(found)
     assert found.count() == 10 and {r["chr"] for r in found.collect()} == {7}
+
+
+def test_bucketed_sides_are_not_shuffled(spark, folder):
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    sets = spark.range(4_000).selectExpr(
+        "'d' || id % 7 AS dataset", "'x' AS data_type", "'t' AS trait", "'t' AS trait_original", "id % 24 + 1 AS chr", "id AS pos", "'A' AS ref", "'G' AS alt",
+        "1D AS mlog10p", "1D AS beta", "id / 4000D AS pip", "'c' || id % 500 AS cs_id",
+    )
+    pairs = spark.range(600).selectExpr(
+        "'d' || id % 7 AS dataset1", "'c' || id % 500 AS cs1_id", "'d' || id % 3 AS dataset2", "'c' || id % 90 AS cs2_id", "5e-1D AS PP_H4_abf"
+    )
+    written = tables.write_bucketed(sets, "coloc_credsets", "bucket_test", f"{folder}/b", ["dataset", "cs_id"], 8)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key in settings:
+        spark.conf.set(key, "-1")
+    try:
+        stored = spark.table("bucket_test")
+        joined = joins.colocalized_members(pairs, stored)
+        found, plain = joined.collect(), joins.colocalized_members(pairs, sets).collect()
+        plan = plan_of(joined)
+        both = plan_of(stored.alias("a").join(stored.alias("b"), ["dataset", "cs_id"]).select("a.pos", "b.pip"))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        spark.sql("DROP TABLE bucket_test")
+    assert written == 4_000 and sorted(map(str, found)) == sorted(map(str, plain)) and found
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning(dataset") == 1 and "Bucketed: true" in final
+    assert "Exchange" not in both.split("== Initial Plan ==")[0]

@@ -1,6 +1,11 @@
+import itertools
+import random
+
+import duckdb
 import pytest
 
-from assocspark.functions.resources import Rule, matched_rule, resource, resource_expr, rules_for
+from assocspark.functions.resources import Rule, covers, matched_rule, resource, resource_expr, rules_for, shadowed_by
+from assocspark.operators import profile
 
 
 def mapped(spark, names, column):
@@ -60,3 +65,29 @@ def test_fixed_rest_lowercase_rule_and_table_filter(spark):
 def test_rest_rule_must_be_last():
     with pytest.raises(ValueError):
         resource_expr([Rule("*", "x"), Rule("a", "b")])
+
+
+def test_patterns_that_cover_others():
+    def taken(pattern, name):
+        return name == pattern if "%" not in pattern else duckdb.execute("SELECT ? LIKE ?", [name, pattern]).fetchone()[0]
+
+    rng = random.Random(8)
+    names = ["".join(p) for n in range(6) for p in itertools.product("ab_", repeat=n)]
+    for _ in range(300):
+        wide, narrow = ("".join(rng.choice("ab%%_") for _ in range(rng.randrange(1, 5))) for _ in range(2))
+        held = all(taken(wide, n) for n in names if taken(narrow, n))
+        assert covers(wide, narrow) <= held, (wide, narrow)
+        if held and "_" not in wide + narrow:
+            assert covers(wide, narrow), (wide, narrow)
+    assert covers("finngen%", "FinnGen%ukbb%") and covers("*", "x") and not covers("x%", "*") and not covers("finngen%ukbb%", "finngen%")
+
+
+def test_rules_that_never_win(spark):
+    rules = [Rule("a%", "x"), Rule("ab%", "y"), Rule("c", "z"), Rule("%b", "w"), Rule("*", transform="lowercase")]
+    assert shadowed_by(rules) == [("ab%", "a%")]
+    sets = spark.createDataFrame([("AB",)] * 3 + [("c",), ("zb",), ("q",), (None,)], "dataset string")
+    found = {r["rule"]: tuple(r)[1:] for r in profile.rule_overlaps(sets, rules).collect()}
+    assert found == {
+        "a%": (1, 3, 1, "", None), "ab%": (1, 3, 0, "a%", "a%"), "c": (1, 1, 1, "", None), "%b": (2, 4, 1, "a%", None),
+        "*": (4, 6, 1, "a% c %b", None),
+    }
