@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assocspark.functions.resources import Rule, rules_for
-from assocspark.operators import profile, views
+from assocspark.operators import profile, states, views
 from assocspark.plans.projections import EXPECTED, resource_sql, rule_sql, view_sql
 from assocspark.plans.registry import Inputs, prepared, query
 from assocspark.schemas import DERIVED_COMMENTS, TABLES
+from assocspark.sources import profiled, tables
 
 
 @query(
@@ -80,6 +81,70 @@ def compact_values_by(t: Inputs):
     return profile.compact_values_by(values, ["qtd"])
 
 
+_STORED = ["dataset", "data_type", "cell_type", "most_severe"]
+
+
+def _three_loads(t: Inputs) -> str:
+    """Credible sets as they are loaded: one owner's rows, the other's, a part of these again, and the part in place of the first."""
+    path, rows = f"{t.scratch()}/credible_sets", t("credible_sets")
+    derive = profiled.profiled(path, _STORED, ["trait", "cs_id", "pos", "se"])
+    owned = tables.owned_rows(*tables.OWNED_DATASETS["fine_mapped"])
+    tables.replace_owned(rows, "fine_mapped", "credible_sets", path, derive)
+    tables.replace_owned(tables.without_owned(rows, owned), "pseudo", "credible_sets", path, derive)
+    tables.append_owned(rows.filter("pip > 9e-1"), "pseudo", "credible_sets", path, derive)
+    tables.replace_owned(rows.filter(owned & (F.col("pip") > 0.5)), "fine_mapped", "credible_sets", path, derive)
+    return path
+
+
+_OWNED_SQL = "(dataset LIKE 'QTD%' OR dataset IN ({}))".format(", ".join(f"'{d}'" for d in tables.OWNED_DATASETS["fine_mapped"][0]))
+_LOADED_SQL = f"""(SELECT * FROM credible_sets WHERE NOT {_OWNED_SQL} UNION ALL SELECT * FROM credible_sets WHERE pip > 9e-1
+UNION ALL SELECT * FROM credible_sets WHERE {_OWNED_SQL} AND pip > 5e-1)"""
+
+
+@query(
+    "stored_profile",
+    "credible_sets",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n_rows FROM (SELECT *, {resource_sql('credible_sets')} AS resource FROM {_LOADED_SQL}) WHERE {c} IS NOT NULL GROUP BY {c}"
+        for c in (*_STORED, "resource")
+    ),
+)
+def stored_profile(t: Inputs):
+    """Values and their rows from the states of the loads; the rows themselves are not read again."""
+    state = profiled.stored_values(t.spark, _three_loads(t))
+    return states.value_counts(views.derive("credible_sets", state, ["resource"]), [*_STORED, "resource"])
+
+
+@query(
+    "stored_allowed_values_by",
+    "credible_sets",
+    _values_sql(("data_type", "cell_type"), f"(SELECT *, {resource_sql('credible_sets')} AS resource FROM {_LOADED_SQL})", "resource"),
+)
+def stored_allowed_values_by(t: Inputs):
+    state = profiled.stored_values(t.spark, _three_loads(t))
+    return profile.allowed_values_by("credible_sets", state, ["data_type", "cell_type"], "resource")
+
+
+_SKETCHED = ("trait", "cs_id", "pos", "se")
+
+
+@query(
+    "stored_distinct_estimates",
+    "credible_sets",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_exact, true AS close FROM {_LOADED_SQL}"
+        for c in _SKETCHED
+    ),
+)
+def stored_distinct_estimates(t: Inputs):
+    """Estimates merged from the loads' sketches, beside exact counts of the table."""
+    path = _three_loads(t)
+    exact = states.distinct_counts(tables.read_owned(t.spark, "credible_sets", path), list(_SKETCHED))
+    found = profiled.stored_sketches(t.spark, path).join(exact, "column_name")
+    close = F.abs(F.col("n_distinct") - F.col("n_exact")) <= 0.07 * F.col("n_exact")
+    return found.select("column_name", "n_rows", "n_null", "n_exact", close.alias("close"))
+
+
 _SIDES = [(name, d) for name in EXPECTED for d in (("dataset1", "dataset2") if name == "colocalization" else ("dataset",))]
 
 
@@ -167,7 +232,17 @@ CROSS JOIN (SELECT count(*) AS n_rows FROM {table}) n"""
 _CATEGORICAL = {
     "credible_sets": ["data_type", "resource"],
     "gene_burden_results": ["annotation", "resource"],
-    "mpra": ["cell_line"],
+    "mpra": ["cell_line", "cohort", "resource"],
+    "colocalization": ["data_type1", "data_type2", "resource1", "resource2"],
+    "coloc_credsets": ["data_type", "resource"],
+    "exome_variant_results": ["annotation", "resource"],
+    "asm_qtl": ["variant_rank", "vartype", "resource"],
+    "gene_annotations": ["locus_type", "strand", "resource"],
+    "open_chromatin": ["tissue", "life_stage", "resource"],
+    "variant_effect": ["model", "tissue", "resource"],
+    "variant_annotation": ["most_severe", "resource"],
+    "peak_to_gene": ["cell_type", "resource"],
+    "hla_associations": ["gene", "resource"],
 }
 _ALLOWED_SQL = " UNION ALL ".join(
     f"SELECT '{table}_v' AS view_name, '{c}' AS column_name, count(DISTINCT {c}) AS n_allowed FROM ({view_sql(table)})"

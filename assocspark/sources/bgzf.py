@@ -129,7 +129,8 @@ def _read_ranges(opened: Callable):
                 with opened(row.path) as source:
                     first = row.start == 0
                     for chunk in _chunks(source, row.start, row.end, row.length):
-                        yield pd.DataFrame({"chunk": [chunk.decode("utf-8")], "first": [first]})
+                        place = {"path": [row.path], "length": [row.length], "start": [row.start], "end": [row.end]}
+                        yield pd.DataFrame(place | {"chunk": [chunk.decode("utf-8")], "first": [first]})
                         first = False
 
     return read
@@ -166,8 +167,22 @@ def read_bgzf_lines(
     ``opened`` turns a path, as Spark spells it, into a readable file; give one for file systems that
     pyarrow does not know by scheme, or that need credentials.
     """
+    return range_lines(spark, paths, skip_leading_rows, split_bytes, opened).select("value")
+
+
+def range_lines(
+    spark: SparkSession, paths: str | list[str], skip_leading_rows: int, split_bytes: int, opened: Callable, ranges_a_task: int = 1
+) -> DataFrame:
+    """The lines of all ranges, each with its range."""
     ranges, tasks = byte_ranges(spark, paths, split_bytes)
-    chunks = ranges.repartition(tasks, "path", "start").mapInPandas(_read_ranges(opened), "chunk string, first boolean")
+    return lines_of(ranges.repartition(-(-tasks // ranges_a_task), "path", "start"), skip_leading_rows, opened)
+
+
+def lines_of(ranges: DataFrame, skip_leading_rows: int, opened: Callable) -> DataFrame:
+    """path, length, start, end and ``value``: the lines that begin in the given ranges."""
+    schema = "path string, length long, start long, end long, chunk string, first boolean"
+    chunks = ranges.select("path", "length", "start", "end").mapInPandas(_read_ranges(opened), schema)
     lines = F.split("chunk", "\n")
     kept = F.when(F.col("first"), F.slice(lines, skip_leading_rows + 1, F.greatest(F.size(lines) - skip_leading_rows, F.lit(0)))).otherwise(lines)
-    return chunks.select(F.explode(kept).alias("value")).select(F.regexp_replace("value", "\r$", "").alias("value"))
+    each = chunks.select("path", "length", "start", "end", F.explode(kept).alias("value"))
+    return each.withColumn("value", F.regexp_replace("value", "\r$", ""))

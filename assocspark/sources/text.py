@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 
 from assocspark.functions import clean
 from assocspark.schemas import CHROM_TEXT_TABLES, JSON_TABLES, PREFIXED_CELL_TYPE_TABLES, table as registered
+from assocspark.sources import regions
 from assocspark.sources.bgzf import read_bgzf_lines
 from assocspark.sources.quoted import CODECS, SPLIT_BYTES, read_records
 
 # A text no field holds: with it Spark's own NULL mapping stays out of the way, so an empty
 # STRING field stays empty and only the marker becomes NULL.
 _NO_NULL_TEXT = "\u0001"
+_CSV = {"sep": "\t", "escape": '"', "mode": "FAILFAST", "nullValue": _NO_NULL_TEXT}
 
 
 def _text_schema(schema: T.StructType) -> T.StructType:
@@ -64,13 +66,7 @@ def read_fields(
     Spark splits plain files; gzip files are one task each. Block-gzip files are split at their blocks. ``quoted_newlines`` allows line
     ends inside quoted fields; plain and block-gzip files are still read in parallel then, at the price of a pass that counts quotes.
     """
-    text = _text_schema(schema)
-    options = {
-        "sep": "\t",
-        "escape": '"',
-        "mode": "FAILFAST",
-        "nullValue": _NO_NULL_TEXT,
-    }
+    text, options = _text_schema(schema), _CSV
     if quoted_newlines and not block_gzip:
         whole, cut = _by_codec(spark, paths)
         if cut:
@@ -115,8 +111,15 @@ def load_frame(
             raise ValueError(f"constant columns are not supported for the JSON table {table!r}")
         return enforce_required(read_ndjson(spark, table, paths), table)
 
-    in_file = T.StructType([f for f in spec.schema if f.name not in const_columns])
-    raw = read_fields(spark, paths, in_file, skip_leading_rows, **read_options)
+    return _typed(read_fields(spark, paths, _in_file(table, const_columns), skip_leading_rows, **read_options), table, const_columns)
+
+
+def _in_file(table: str, const_columns: Mapping[str, str]) -> T.StructType:
+    return T.StructType([f for f in registered(table).schema if f.name not in const_columns])
+
+
+def _typed(raw: DataFrame, table: str, const_columns: Mapping[str, str]) -> DataFrame:
+    spec = registered(table)
 
     def value(field: T.StructField):
         if field.name in const_columns:
@@ -132,6 +135,25 @@ def load_frame(
     return enforce_required(raw.select(*[value(f) for f in spec.schema]), table)
 
 
+def index_regions(spark: SparkSession, table: str, paths: str | list[str], index_path: str, const_columns: Iterable[str] = (), **options) -> None:
+    """Index block-gzip files of a table for ``load_region``. Files may lack the columns in ``const_columns``."""
+    names = _in_file(table, dict.fromkeys(const_columns, "")).names
+    regions.write_index(spark, paths, index_path, names.index("chr"), names.index("pos"), **options)
+
+
+def load_region(
+    spark: SparkSession, table: str, index_path: str, chrom: int, first: int, last: int, const_columns: Mapping[str, str] | None = None, **options
+) -> DataFrame:
+    """The rows of indexed files with ``pos`` in a region, both ends included, typed as ``load_frame`` gives them.
+
+    Only the byte ranges that may hold the region are read.
+    """
+    const_columns = dict(const_columns or {})
+    lines = regions.region_lines(spark, index_path, chrom, first, last, **options)
+    rows = _typed(_parsed(lines, _text_schema(_in_file(table, const_columns)), _CSV), table, const_columns)
+    return rows.filter((F.col("chr") == chrom) & F.col("pos").between(first, last))
+
+
 def load_group(
     spark: SparkSession, table: str, files: Iterable[str | tuple[str, Mapping[str, str]]], **options
 ) -> DataFrame:

@@ -200,3 +200,50 @@ def test_quoted_file_is_read_by_many_tasks_without_a_final_line_end(spark, folde
     tasks = found.groupBy(F.spark_partition_id()).count().collect()
     assert sum(t["count"] for t in tasks) == 3_000 and len(tasks) >= 8
     assert {r[0].split("\t")[1] for r in found.collect()} == {str(k) for k in range(3_000)}
+
+
+def test_a_region_reads_only_its_ranges(spark, folder):
+    from assocspark.sources import bgzf
+
+    def row(k):
+        return "\t".join(["d", "t", "x", "x", "NA", str(23 if k >= 8_000 else k // 2_000 + 1), str(k % 2_000 * 10), "A", "G", "1.5", "0.1", "NA", "0.5", f"cs{k}"])
+
+    data = "\n".join(["\t".join(COLOC), *[row(k) for k in range(10_000)]]).encode() + b"\n"
+    with open(f"{folder}/f.bgz", "wb") as out:
+        for at in range(0, len(data), 3_000):
+            out.write(_block(data[at : at + 3_000]))
+        out.write(_block(b""))
+    text.index_regions(spark, "coloc_credsets", f"{folder}/f.bgz", f"{folder}/index", granule=4_096)
+    everything = text.load_frame(spark, "coloc_credsets", f"{folder}/f.bgz", block_gzip=True)
+    unpacked = spark.sparkContext.accumulator(0)
+
+    class Counted:
+        def __init__(self, source):
+            self.source = source
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.source.close()
+
+        def seek(self, at):
+            self.source.seek(at)
+
+        def read(self, n):
+            found = self.source.read(n)
+            if n == 1 << 16:  # a block
+                unpacked.add(1)
+            return found
+
+    def opened(path):
+        return Counted(bgzf.opened(path))
+
+    blocks = -(-len(data) // 3_000)
+    for chrom, first, last in ((23, 5_000, 6_000), (1, 0, 10), (3, 19_990, 30_000), (4, 7, 9), (9, 0, 10**9)):
+        before = unpacked.value
+        found = text.load_region(spark, "coloc_credsets", f"{folder}/index", chrom, first, last, opened=opened)
+        expected = everything.filter((F.col("chr") == chrom) & F.col("pos").between(first, last))
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+        assert unpacked.value - before < blocks / 4
+    assert everything.filter("chr = 23").count() == 2_000
