@@ -38,7 +38,7 @@ END, OTHER = 0, CLASSES + 1  # classes 1 .. CLASSES hold frequent words, RARE +
 RARE = CLASSES
 KINDS = 2 * CLASSES + 1
 UNSEEN = 255
-_CHUNK = 2 << 20
+_CHUNK = 3 << 20
 
 
 @dataclass
