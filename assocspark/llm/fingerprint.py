@@ -2,10 +2,11 @@
 
 A fingerprint holds every shingle hash below a fixed share of the hash range, as sorted numbers of eight hex
 digits. The share is the same for all documents, so the fingerprint of a union is the union of fingerprints, and the
-containment of one text in another can be estimated however different their lengths are.
+containment of one text in another can be estimated however different their lengths are. A text of which no hash is below
+the share keeps its least one, so short texts differ; the least of a union is the least of the parts, so merging stays exact.
 
-Defined cases: a NULL text is empty; the fingerprint of a text without words is empty. A text with fewer than five
-words has one shingle. Equal fingerprints have likeness 1, an empty and a filled one 0. In
+Defined cases: a NULL text is empty; the fingerprint of a text without words is empty, that of any other is not. A text with
+fewer than five words has one shingle. Equal fingerprints have likeness 1, an empty and a filled one 0. In
 the order of documents repeated ids follow each other by a hash of their texts, and NULL ids come last.
 """
 
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assocspark.llm import text
@@ -29,6 +30,9 @@ def sketches(column: pa.Array) -> list[np.ndarray]:
     """The sorted kept hashes of each text."""
     values, begin = text.shingles(column, WORDS)
     keep = values < np.uint64(2**64 // SHARE)
+    runs = np.diff(begin)
+    if len(values):
+        keep |= values == np.repeat(np.minimum.reduceat(values, begin[:-1][runs > 0]), runs[runs > 0])
     values, begin = values[keep] >> np.uint64(32), np.concatenate([[0], np.cumsum(keep)])[begin]
     values, begin = text.distinct_runs(values, begin)
     values = values.astype(np.uint32)
@@ -50,7 +54,9 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 def merged(a: str, b: str) -> str:
     """The fingerprint of two texts taken together, from theirs."""
     split = lambda s: {s[i : i + 8] for i in range(0, len(s), 8)}
-    return "".join(sorted(split(a) | split(b)))
+    every = sorted(split(a) | split(b))
+    below = [h for h in every if int(h, 16) < 2**32 // SHARE]
+    return "".join(below or every[:1])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -67,6 +73,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
+def _above(value: Column, cuts: list[int]) -> Column:
+    """How many of the descending ``cuts`` are not below the value: first over every w-th of them, then inside one stretch of w."""
+    width = max(int(len(cuts) ** 0.5), 1)
+    count = lambda some, start: F.aggregate(some, start, lambda n, c: n + (value <= c).cast("int"))
+    known = lambda some: F.array(*[F.lit(c).cast("long") for c in some])
+    coarse = count(known(cuts[width - 1 :: width]), F.lit(0)) * width
+    return count(F.slice(known(cuts), coarse + 1, F.lit(width)), coarse)
+
+
 def followed(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """The documents by descending id in ranges, each range sorted and closed by a copy of the row that follows it.
 
@@ -80,7 +95,7 @@ def followed(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     cuts = sorted(set(cuts or []), reverse=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # part 0 has the ids above the highest mark; NULL ids are in the last part
-    place = F.aggregate(F.array(*[F.lit(c) for c in cuts]), F.lit(0), lambda n, c: n + (F.col("doc_id") <= c).cast("int")) if cuts else F.lit(0)
+    place = _above(F.col("doc_id"), cuts) if cuts else F.lit(0)
     rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(len(cuts))).otherwise(place))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     key = lambda: F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", (-F.col("tie").cast("decimal(20,0)")).alias("t"))
@@ -94,7 +109,7 @@ def followed(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     one = Window.partitionBy("part").orderBy("doc_id")
     copies = copies.withColumn("n", F.row_number().over(one)).where("n = 1").drop("n")
     every = rows.withColumn("extra", F.lit(False)).select("doc_id", "text", "part", "tie", "extra").unionByName(copies)
-    dealt = every.repartition(ranges, "part")
+    dealt = every.repartitionById(ranges, "part")  # each range is a task of its own
     order = ["part", "extra", F.col("doc_id").desc_nulls_last(), "tie"]
     return dealt.sortWithinPartitions(*order).select("part", "doc_id", "text", "extra")
 
