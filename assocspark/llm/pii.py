@@ -4,9 +4,10 @@ Base spans are the leftmost, non-overlapping matches of four patterns with their
 generators propose more spans, which may overlap: numbers with any separators, also without a leading plus, and
 addresses that are written out ("name (at) host (dot) org"). Boosted trees judge a proposal by its format and its
 context. They learn from base spans, from the same spans written in other ways (positive), and from proposals in the
-corpus and altered numbers that fail the checks (negative), on a bounded sample of SAMPLE documents. A calibration
-part of the sample gives each kind its threshold: the least one at which PRECISION holds. Of overlapping spans that
-pass, the likeliest stays, and none that overlaps a base span.
+corpus and altered numbers that are refuted (negative: failed Luhn sums, parts above 255, dates, bare numbers and groups of no
+phone number without a word that names one), on a bounded sample of SAMPLE documents. A proposal that is neither a
+base span nor refuted teaches nothing. A calibration part of the sample gives each kind its threshold: the least one at
+which PRECISION holds. Of overlapping spans that pass, the likeliest stays, and none that overlaps a base span.
 
 Defined cases: NULL and empty texts have no spans; repeated rows give equal rows; NULL ids stay NULL; where
 nothing can be learned only base spans are returned. Extra columns are ignored.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assocspark.llm import text, trees
+from assocspark.llm.store import sampled
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 3_000
@@ -38,7 +41,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # generators
 _AT = r"(?: ?[(\[{] ?at ?[)\]}] ?| at |@)"
 _DOT = r"(?: ?[(\[{] ?dot ?[)\]}] ?| dot |\.)"
-_WRITTEN = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}{_AT}[A-Za-z0-9-]{{1,63}}(?:{_DOT}[A-Za-z0-9-]{{1,63}}){{1,8}}", re.I)
+_WRITTEN = re.compile(rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++{_AT}[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)++", re.I)
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[ ().\-/]{0,2}[0-9])*+(?![0-9A-Za-z])")
 _ANY = re.compile(r"[0-9@]|[(\[{] ?at ?[)\]}]| at ", re.I)
 _CUES = {
@@ -151,16 +154,38 @@ class Model:
     thresholds: dict[str, float]
 
 
+def _meets(spans: list[tuple[int, int]], a: int, b: int) -> bool:
+    """Whether any of the spans, sorted by start, overlaps a..b; each kind of span is disjoint, so few need a look."""
+    k = bisect_left(spans, (b,))
+    return any(e > a for _, e in spans[max(k - len(KINDS), 0) : k])
+
+
+def _refuted(kind: str, span: str, before: str) -> bool:
+    """Whether a proposal cannot be what it was proposed as, or nothing speaks for it."""
+    digits, groups = _digits(span), [len(g) for g in re.findall("[0-9]+", span)]
+    if kind == "card":
+        return not luhn(digits) or not 14 <= len(digits) <= 19
+    if kind == "ip":
+        return not all(map(_small, span.split(".")))
+    if kind == "email":
+        return False
+    if groups in ([4, 2, 2], [2, 2, 4]):
+        return True
+    cue = any(w in _CUES[kind] for w in re.findall("[A-Za-z-]+", before.lower())[-4:])
+    shaped = len(groups) >= 3 and all(2 <= g <= 4 for g in groups[1:]) and 10 <= len(digits) <= 13
+    return not cue and not shaped
+
+
 def _examples(value: str) -> tuple[list[list[float]], list[float]]:
     base = base_spans(value)
-    taken = set(base)
     x, y = [], []
     for k, (kind, a, b) in enumerate(base):
         for span, label in _altered(kind, value[a:b], len(value) * 31 + k):
             x.append(features(kind, span, value[max(a - 40, 0) : a], value[b : b + 40]))
             y.append(label)
+    starts = sorted((s, e) for _, s, e in base)
     for kind, a, b in proposals(value):
-        if (kind, a, b) not in taken and not any(a < e and s < b for _, s, e in base):
+        if not _meets(starts, a, b) and _refuted(kind, value[a:b], value[max(a - 40, 0) : a]):
             x.append(features(kind, value[a:b], value[max(a - 40, 0) : a], value[b : b + 40]))
             y.append(0.0)
     return x, y
@@ -168,25 +193,23 @@ def _examples(value: str) -> tuple[list[list[float]], list[float]]:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Fit on a bounded sample of the documents that have digits or address marks; None if they show too little."""
-    some = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]")).select("doc_id")
-    chosen = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id")  # the sample is bounded
+    rows = sampled(docs.where(F.col("text").rlike("[0-9@]")), sample)
+    rows = rows.select("text", (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held"))  # for calibration
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([("held", pa.bool_()), ("x", pa.list_(pa.float64())), ("y", pa.float64())])
         for batch in batches:
             out = []
-            for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                x, y = _examples(value or "")
-                out += [{"doc_id": doc, "x": a, "y": b} for a, b in zip(x, y, strict=True)]
-            kinds = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64())), ("y", pa.float64())])
+            for value, held in zip(batch.column("text").to_pylist(), batch.column("held").to_pylist(), strict=True):
+                x, y = _examples(value)
+                out += [{"held": held, "x": a, "y": b} for a, b in zip(x, y, strict=True)]
             yield pa.RecordBatch.from_pylist(out, schema=kinds)
 
-    got = rows.mapInArrow(run, "doc_id long, x array<double>, y double").toArrow()
-    got = got.sort_by([("doc_id", "ascending")])
+    got = rows.mapInArrow(run, "held boolean, x array<double>, y double").toArrow()
     y = got.column("y").to_numpy()
     if len(y) < 40 or y.min() == y.max():
         return None
-    x, held = np.array(got.column("x").to_pylist()), got.column("doc_id").to_numpy() % 4 == 0
+    x, held = np.array(got.column("x").to_pylist()), got.column("held").to_numpy()
     order = np.lexsort((y, *x.T[::-1]))
     x, y, held = x[order], y[order], held[order]
     if not 0 < y[~held].sum() < len(y[~held]):
@@ -207,17 +230,19 @@ def added(value: str, base: list[tuple[str, int, int]], model: Model | None) ->
     """The spans that the trees add to the base spans."""
     if model is None:
         return []
-    spans = [p for p in proposals(value) if p[0] in model.thresholds and not any(p[1] < e and s < p[2] for _, s, e in base)]
+    starts = sorted((s, e) for _, s, e in base)
+    spans = [p for p in proposals(value) if p[0] in model.thresholds and not _meets(starts, p[1], p[2])]
     if not spans:
         return []
     x = [features(k, value[a:b], value[max(a - 40, 0) : a], value[b : b + 40]) for k, a, b in spans]
     score = model.judge.probability(np.array(x))
-    out: list[tuple[str, int, int]] = []
+    out: list[tuple[int, int, str]] = []  # sorted and apart
     for i in np.argsort(-score, kind="stable"):
         kind, a, b = spans[i]
-        if score[i] >= model.thresholds[kind] and not any(a < e and s < b for _, s, e in out):
-            out.append(spans[i])
-    return out
+        k = bisect_left(out, (b,))
+        if score[i] >= model.thresholds[kind] and (not k or out[k - 1][1] <= a):
+            out.insert(k, (a, b, kind))
+    return [(kind, a, b) for a, b, kind in out]
 
 
 def shown(spans: list[tuple[str, int, int]]) -> str:

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assocspark.session import scratch_dir
 
@@ -23,6 +24,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled(docs: DataFrame, sample: int) -> DataFrame:
+    """doc_id and text (the least, where an id repeats) of the ``sample`` ids with the lowest hashes; NULL ids are left out.
+
+    The share of hashes that can be among the lowest follows from the number of ids, so no task sorts more than a few
+    times ``sample`` ids, and an id of very many rows counts once.
+    """
+    ids = stored(docs.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("place", F.xxhash64("doc_id")), "ids")
+    share = 4 * sample / max(ids.count(), 1)
+    if share < 1:
+        ids = ids.where(F.col("place") < int(share * 2**64) - 2**63)
+    chosen = ids.orderBy("place", "doc_id").limit(sample).select("doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, for sessions that were started without it on their path.
 
