@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +15,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def tokenizer() -> str:
+    import public_tokenizers  # only the packing queries need it
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(name: str, sql: str | None = None):
     def add(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +49,7 @@ def language_id(table) -> DataFrame:
 
 @query("op6_best_fit_packing")
 def best_fit_packing(table) -> DataFrame:
-    return packing.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table("documents"), tokenizer())
 
 
 @query("op10_line_dedup", line_sql.SQL)
@@ -109,4 +114,4 @@ def conversation_repair(table) -> DataFrame:
 
 @query("op13_cost_balanced_packing")
 def cost_balanced_packing(table) -> DataFrame:
-    return balanced.pack(table("documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return balanced.pack(table("documents"), tokenizer())
