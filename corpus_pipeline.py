@@ -6,7 +6,6 @@ returns packed pieces instead.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +34,18 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates; rows without an id are kept."""
+    """Keep the row of least id of each group of near duplicates (NULL ids last; of equal ids any one row).
+
+    Rows are told apart by a number of their own, written with them, so rows that share an id or have none are judged one by one.
+    """
     ship(spark)
-    gone = minhash.near_duplicates(docs).where("NOT kept").select("doc_id")
-    return docs.select(COLUMNS).join(gone.distinct(), "doc_id", "left_anti").select(COLUMNS)
+    rows = stored(docs.select(COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = minhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id"), "row")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    kept = found.groupBy("component_id").agg(F.min(rank)["row"].alias("row")).select("row")
+    gone = found.select("row").join(kept, "row", "left_anti")  # few, so the texts need no shuffle where Spark can broadcast it
+    return rows.join(gone, "row", "left_anti").select(COLUMNS)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,6 +56,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences of at most 2048 tokens."""
+    import public_tokenizers  # only this stage needs it
+
     ship(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
