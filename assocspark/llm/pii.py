@@ -193,7 +193,7 @@ def _examples(value: str) -> tuple[list[list[float]], list[float]]:
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Fit on a bounded sample of the documents that have digits or address marks; None if they show too little."""
-    rows = sampled(docs.where(F.col("text").rlike("[0-9@]")), sample)
+    rows = sampled(docs, sample, "[0-9@]")
     rows = rows.select("text", (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("held"))  # for calibration
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -205,7 +205,8 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     if labels is not None:
         own = labels.select(*fields).dropna().orderBy(F.xxhash64(*fields), *fields).limit(20 * sample).toArrow().to_pylist()
     else:
-        pattern = rf"(?i)({NAMES})[\"']? ?[=:]|[A-Za-z0-9+/_-]{{30}}"
+        # tried at "=", ":" and the starts of words only
+        pattern = rf"(?<=(?i:{NAMES})[\"']? ?)[=:]|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{30}}"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = pa.schema([(c, pa.string()) for c in fields[:3]] + [("label", pa.float64())])
@@ -213,7 +214,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
                 out = [dict(zip(fields, x, strict=True)) for value in batch.column("text").to_pylist() for x in labelled(value)]
                 yield pa.RecordBatch.from_pylist(out, schema=kinds)
 
-        some = sampled(docs.where(F.col("text").rlike(pattern)), sample).select("text")
+        some = sampled(docs, sample, pattern).select("text")
         own = some.mapInArrow(run, "value string, before string, after string, label double").toArrow().to_pylist()
     own.sort(key=lambda r: tuple(r[c] for c in fields))
     y = np.array([r["label"] for r in own])

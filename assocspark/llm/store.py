@@ -24,13 +24,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sampled(docs: DataFrame, sample: int) -> DataFrame:
+def sampled(docs: DataFrame, sample: int, holds: str) -> DataFrame:
     """doc_id and text (the least, where an id repeats) of the ``sample`` ids with the lowest hashes; NULL ids are left out.
 
+    Only ids with a text that matches the pattern ``holds`` are asked; the pattern is tried in one pass.
+
     The share of hashes that can be among the lowest follows from the number of ids, so no task sorts more than a few
     times ``sample`` ids, and an id of very many rows counts once.
     """
-    ids = stored(docs.where("doc_id IS NOT NULL").select("doc_id").distinct().withColumn("place", F.xxhash64("doc_id")), "ids")
+    ids = stored(docs.where("doc_id IS NOT NULL").where(F.col("text").rlike(holds)).select("doc_id").distinct().withColumn("place", F.xxhash64("doc_id")), "ids")
     share = 4 * sample / max(ids.count(), 1)
     if share < 1:
         ids = ids.where(F.col("place") < int(share * 2**64) - 2**63)
