@@ -206,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
         own = labels.select(*fields).dropna().orderBy(F.xxhash64(*fields), *fields).limit(20 * sample).toArrow().to_pylist()
     else:
         # tried at "=", ":" and the starts of words only
-        pattern = rf"(?<=(?i:{NAMES})[\"']? ?)[=:]|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{30}}"
+        pattern = rf"[=:](?<=(?i:{NAMES})[\"']? ?[=:])|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{30}}"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kinds = pa.schema([(c, pa.string()) for c in fields[:3]] + [("label", pa.float64())])
