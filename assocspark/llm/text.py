@@ -100,8 +100,8 @@ def span_hashes(
     return mixed((sums[ends] - sums[starts]) * unshift + (ends - starts).astype(U64) * _STEP)
 
 
-def byte_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return span_hashes(data, starts, ends, table=_BYTE)
+def byte_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: U64 = _BASE) -> np.ndarray:
+    return span_hashes(data, starts, ends, base, _BYTE)
 
 
 def word_spans(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
