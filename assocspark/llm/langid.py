@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assocspark.llm import text
+from assocspark.llm.store import stored
 
 BUCKETS = 1 << 16
 ORDERS = 3
@@ -112,15 +113,25 @@ def _idf(docs: DataFrame) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, per_language: int) -> list:
-    """Language, whether to calibrate, buckets and counts of the sampled training documents."""
+    """Language, whether to calibrate, buckets and counts of the sampled training documents.
+
+    Of each language, the ids of the lowest hashes. The share of hashes that can be among them follows from the number of
+    ids of the language, so a task ranks a few times ``per_language`` ids, however many partitions there are. An id that
+    repeats within a language counts once, with its least text.
+    """
+    ids = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang").distinct()
+    ids = stored(ids.withColumn("place", F.xxhash64("doc_id")), "ids")
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))  # one row for each language, as in the model
+    limit = F.least(F.lit(1.0), 4.0 * per_language / F.col("n")) * 2.0**64 - 2.0**63
+    near = ids.join(F.broadcast(sizes), "lang").where(F.col("place").cast("double") <= limit)
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
-    ids = docs.select("doc_id", "lang", F.xxhash64("doc_id").alias("place")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    ids = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
-    chosen = [(r["doc_id"], r["rank"] % 4 == 0) for r in ids.collect()]  # per_language for each language at most
+    ranked = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    chosen = [(r["doc_id"], r["lang"], r["rank"] % 4 == 0) for r in ranked.collect()]  # per_language for each language at most
     if not chosen:
         return []
-    picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, calibrate boolean").dropDuplicates(["doc_id"])
-    rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "lang", "calibrate", "text")
+    picked = docs.sparkSession.createDataFrame(chosen, "doc_id long, lang string, calibrate boolean")
+    rows = docs.where("text IS NOT NULL").join(F.broadcast(picked), ["doc_id", "lang"])
+    rows = rows.groupBy("doc_id", "lang", "calibrate").agg(F.min("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
