@@ -16,14 +16,26 @@ def chrom_sql(column: str) -> str:
   WHEN regexp_full_match({bare}, '[+-]?[0-9]+') THEN CAST({bare} AS BIGINT) END)"""
 
 
+def _coded(raw):
+    return raw.select(clean.chromosome_code("chrom").alias("chr"), *[c for c in raw.columns if c != "chrom"])
+
+
 @prepared(
     "open_chromatin",
     "open_chromatin_raw",
     f"SELECT {chrom_sql('chrom')} AS chr, * EXCLUDE (chrom) FROM open_chromatin_raw",
 )
 def open_chromatin(t: Inputs):
-    raw = t("open_chromatin_raw")
-    return raw.select(clean.chromosome_code("chrom").alias("chr"), *[c for c in raw.columns if c != "chrom"])
+    return _coded(t("open_chromatin_raw"))
+
+
+@prepared(
+    "dense_open_chromatin",
+    "dense_open_chromatin_raw",
+    f"SELECT {chrom_sql('chrom')} AS chr, * EXCLUDE (chrom) FROM dense_open_chromatin_raw",
+)
+def dense_open_chromatin(t: Inputs):
+    return _coded(t("dense_open_chromatin_raw"))
 
 
 @prepared(

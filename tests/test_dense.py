@@ -28,3 +28,8 @@ def test_members_of_folded_sets_all_meet(spark, dense):
     # 20 pairs of set CS1 with the set 24 * 3 further; all 60 lines are members of CS1
     assert sides.count(1) == 20 * 60 and sides.count(2) == 0
     assert {(r["cs1_id"], r["cs2_id"]) for r in found} == {("CS1", "CS73")}
+
+
+def test_regions_and_peaks_of_shared_places_all_meet(spark, dense):
+    found = entry.queries()["region_overlap"](spark, dense).collect()
+    assert len(found) == 20 * 10 and {(r["region_start_min"], r["peak_start"]) for r in found} == {(3_000, 5_000)}
