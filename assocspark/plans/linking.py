@@ -103,10 +103,10 @@ def coloc_members(t: Inputs):
     return joins.colocalized_members(t("dense_colocalization"), t("dense_coloc_credsets"))
 
 
-def _bucketed(t: Inputs, table: str, keys: list[str]):
+def _bucketed(t: Inputs, table: str, keys: list[str], buckets: int, placed: bool = False):
     """A stand-in as a bucketed table; its catalog entry goes again, its files are read."""
     name = f"bucketed_{uuid.uuid4().hex}"
-    tables.write_bucketed(t(table), table, name, t.scratch(), keys, 16)
+    tables.write_bucketed(t(table), table, name, t.scratch(), keys, buckets, placed)
     stored = t.spark.table(name)
     t.spark.sql(f"DROP TABLE {name}")
     return stored
@@ -115,7 +115,8 @@ def _bucketed(t: Inputs, table: str, keys: list[str]):
 @query("bucketed_members", "colocalization coloc_credsets", _members_sql())
 def bucketed_members(t: Inputs):
     """The members, the larger side, are stored by set and not shuffled for the join."""
-    return joins.colocalized_members(t("colocalization"), _bucketed(t, "coloc_credsets", ["dataset", "cs_id"]))
+    buckets = tables.bucket_count(t("coloc_credsets").count())
+    return joins.colocalized_members(t("colocalization"), _bucketed(t, "coloc_credsets", ["dataset", "cs_id"], buckets))
 
 
 @query(
@@ -125,9 +126,14 @@ def bucketed_members(t: Inputs):
 FROM credible_sets c JOIN variant_annotation a ON (a.chr, a.pos, a.ref, a.alt) = (c.chr, c.pos, c.ref, c.alt)""",
 )
 def bucketed_annotation(t: Inputs):
-    """Both sides are stored by site, so nothing is shuffled."""
-    variants = _bucketed(t, "credible_sets", list(joins.SITE)).select("dataset", "cs_id", *joins.SITE, "pip")
-    return joins.annotate_variants(variants, _bucketed(t, "variant_annotation", list(joins.SITE)), ["rsid", "AF"])
+    """Both sides are stored by site, so nothing is shuffled.
+
+    The annotated sites are dealt to their buckets before they are made distinct and annotated, so that is the only shuffle of theirs.
+    """
+    site, buckets = list(joins.SITE), tables.bucket_count(t("credible_sets").count())
+    variants = _bucketed(t, "credible_sets", site, buckets).select("dataset", "cs_id", *site, "pip")
+    t.place("annotated_sites", site, buckets)
+    return joins.annotate_variants(variants, _bucketed(t, "variant_annotation", site, buckets, placed=True), ["rsid", "AF"])
 
 
 @query(

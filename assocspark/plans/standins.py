@@ -111,6 +111,13 @@ SELECT CASE p_partkey % 28 WHEN 22 THEN 'chrX' WHEN 23 THEN 'Y' WHEN 24 THEN 'ch
 FROM part"""
 
 
+_SITES = "SELECT chr, pos, ref, CASE WHEN most_severe IS NULL THEN 'N' ELSE alt END AS alt FROM credible_sets"
+_ANNOTATION = """CAST(chr AS STRING) || ':' || CAST(pos AS STRING) || ':' || ref || ':' || alt AS variant, chr, pos, ref, alt,
+  CAST(pos % 40 AS DOUBLE) / 8e1 + 5e-1 AS INFO, CAST(pos % 100 AS DOUBLE) / 1e2 AS AF, pos % 3000 AS AC_Het, CASE WHEN pos % 9 = 0 THEN NULL ELSE pos % 300 END AS AC_Hom,
+  CASE WHEN pos % 8 = 0 THEN NULL ELSE CAST(pos % 50 AS DOUBLE) / 1e1 END AS EXOME_enrichment_nfe, CASE WHEN pos % 5 = 0 THEN NULL ELSE CAST(pos % 60 AS DOUBLE) / 1e1 END AS GENOME_enrichment_nfe,
+  pos % 100000 AS index, CASE pos % 4 WHEN 0 THEN 'missense_variant' WHEN 1 THEN 'intron_variant' ELSE 'stop_gained' END AS most_severe,
+  'G' || CAST(pos % 312 AS STRING) AS gene_most_severe, 'rs' || CAST(pos AS STRING) AS rsid"""
+
 STANDINS: dict[str, str] = {
     "credible_sets": _credible_sets(_LINE, _SITE, _PEAK.format(k="l_partkey")),
     "dense_credible_sets": _credible_sets(f"{_LINE} % 312", _DENSE_SITE, _DENSE_PEAK),
@@ -155,13 +162,9 @@ SELECT CASE WHEN l_suppkey % 2 = 0 THEN 'deCODE_asmQTL_CpG' ELSE 'deCODE_asmQTL_
 FROM lineitem""",
     "open_chromatin_raw": _open_chromatin("p_partkey * 250", "200 + p_size % 10 * 150"),
     "dense_open_chromatin_raw": _open_chromatin("p_partkey % 500 * 1000", "500"),
-    "variant_annotation": """
-SELECT DISTINCT CAST(chr AS STRING) || ':' || CAST(pos AS STRING) || ':' || ref || ':' || alt AS variant, chr, pos, ref, alt,
-  CAST(pos % 40 AS DOUBLE) / 8e1 + 5e-1 AS INFO, CAST(pos % 100 AS DOUBLE) / 1e2 AS AF, pos % 3000 AS AC_Het, CASE WHEN pos % 9 = 0 THEN NULL ELSE pos % 300 END AS AC_Hom,
-  CASE WHEN pos % 8 = 0 THEN NULL ELSE CAST(pos % 50 AS DOUBLE) / 1e1 END AS EXOME_enrichment_nfe, CASE WHEN pos % 5 = 0 THEN NULL ELSE CAST(pos % 60 AS DOUBLE) / 1e1 END AS GENOME_enrichment_nfe,
-  pos % 100000 AS index, CASE pos % 4 WHEN 0 THEN 'missense_variant' WHEN 1 THEN 'intron_variant' ELSE 'stop_gained' END AS most_severe,
-  'G' || CAST(pos % 312 AS STRING) AS gene_most_severe, 'rs' || CAST(pos AS STRING) AS rsid
-FROM (SELECT chr, pos, ref, CASE WHEN most_severe IS NULL THEN 'N' ELSE alt END AS alt FROM credible_sets) AS sites""",
+    "variant_annotation": f"""
+SELECT DISTINCT {_ANNOTATION}
+FROM ({_SITES}) AS sites""",
     "variant_effect": """
 SELECT chr, pos, ref, alt, variant, CASE WHEN pos % 2 = 0 THEN 'marderstein_chrombpnet' ELSE 'marderstein_flare' END AS dataset,
   CASE WHEN pos % 2 = 0 THEN 'chrombpnet' ELSE 'flare' END AS model, AF - 5e-1 AS score, AF > 8e-1 AS is_significant,
@@ -219,7 +222,12 @@ SELECT CAST(n_nationkey + CASE WHEN n_nationkey = 3 THEN 900 ELSE 100 END AS STR
 UNION ALL SELECT CAST(r_regionkey + 10 AS STRING), r_name FROM region UNION ALL SELECT '1', 'ROOT'""",
 }
 
-_NAMES = "|".join((*SOURCES, *STANDINS))
+# Spark's texts of stand-ins that it makes with smaller shuffles; the rows are the same. All annotation follows from the site.
+SPARK_TEXTS: dict[str, str] = {
+    "annotated_sites": _SITES,
+    "variant_annotation": f"SELECT {_ANNOTATION} FROM (SELECT DISTINCT chr, pos, ref, alt FROM annotated_sites) AS sites",
+}
+_NAMES = "|".join((*SOURCES, *STANDINS, *SPARK_TEXTS))
 _READ = re.compile(rf"\b(FROM|JOIN)\s+({_NAMES})\b")
 
 

@@ -280,15 +280,27 @@ def vacuum_owned(spark: SparkSession, path: str, keep: int = 1) -> int:
     return removed
 
 
-def write_bucketed(df: DataFrame, table: str, identifier: str, path: str, keys: list[str], buckets: int) -> int:
+BUCKET_ROWS = 1_000_000  # rows of a bucket: some hundred megabytes in memory, at most
+
+
+def bucket_count(rows: int, least: int = 16) -> int:
+    """Buckets for a number of rows, so that a bucket stays as large however many there are."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
+def write_bucketed(
+    df: DataFrame, table: str, identifier: str, path: str, keys: list[str], buckets: int, placed: bool = False
+) -> int:
     """Save rows as a catalog table cut and sorted by join keys, one file for each bucket; returns the rows.
 
-    Joins on exactly these keys then read the table without shuffling or sorting it, however often. Adaptive execution cannot
-    split a bucket, so this is for keys that spread well; choose ``buckets`` so that one holds some hundred megabytes.
+    Joins on exactly these keys then read the table without shuffling it, however often. Adaptive execution cannot
+    split a bucket, so this is for keys that spread well; choose ``buckets`` so that one holds some hundred megabytes
+    (``bucket_count``). The writer sorts each bucket, so nothing sorts here. ``placed`` says that ``df`` is already
+    partitioned by ``repartition(buckets, *keys)``, and spares the shuffle.
     """
     counted = Observation()
-    placed = described(df, table).repartition(buckets, *keys).sortWithinPartitions(*keys)
-    writer = placed.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    rows = described(df, table) if placed else described(df, table).repartition(buckets, *keys)
+    writer = rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     writer.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(identifier)
     return counted.get["rows"]
 

@@ -4,9 +4,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from assocspark.operators import joins
 from assocspark.sources import tables
-from conftest import plan_of
+from conftest import SMALL, plan_of
 
 
 @pytest.fixture
@@ -136,3 +137,27 @@ def test_bucketed_sides_are_not_shuffled(spark, folder):
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("Exchange hashpartitioning(dataset") == 1 and "Bucketed: true" in final
     assert "Exchange" not in both.split("== Initial Plan ==")[0]
+
+
+def test_buckets_follow_from_the_rows():
+    assert tables.bucket_count(0) == 16 and tables.bucket_count(16_000_001) == 17 and tables.bucket_count(216_000_000) == 216
+    assert tables.bucket_count(5, 8) == 8
+
+
+def test_bucketed_queries_ask_for_their_buckets(spark, monkeypatch):
+    """Members and annotated sites: the count follows from the rows, and sites are dealt to buckets once."""
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    asked, write = [], tables.write_bucketed
+
+    def noted(df, table, *rest):
+        asked.append((table, rest[3], rest[4], plan_of(df).count("Exchange hashpartitioning") if rest[4] else None))
+        return write(df, table, *rest)
+
+    monkeypatch.setattr(tables, "write_bucketed", noted)
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    buckets = -(-lines // 100)
+    for name in ("bucketed_members", "bucketed_annotation"):
+        assert entry.queries()[name](spark, SMALL).count() > 0
+    assert asked == [
+        ("coloc_credsets", buckets, False, None), ("credible_sets", buckets, False, None), ("variant_annotation", buckets, True, 1),
+    ]
