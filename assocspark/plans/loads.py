@@ -115,9 +115,9 @@ def scan_bgz(t: Inputs):
 
 @query("bgz_region", "coloc_credsets", "SELECT * FROM coloc_credsets WHERE chr = 3 AND pos BETWEEN 5000 AND 25000")
 def bgz_region(t: Inputs):
-    """A region of sorted block-gzip files by their index."""
-    base = t.scratch()
-    ordered = t("coloc_credsets").repartitionByRange(8, "chr", "pos").sortWithinPartitions("chr", "pos")
+    """A region of sorted block-gzip files by their index; the number of files grows with the rows."""
+    base, rows = t.scratch(), t("coloc_credsets")
+    ordered = rows.repartitionByRange(tables.bucket_count(rows.count(), 8), "chr", "pos").sortWithinPartitions("chr", "pos")
     write_bgzf(as_text(ordered), f"{base}/files")
     text.index_regions(t.spark, "coloc_credsets", f"{base}/files/*.bgz", f"{base}/index", granule=64 << 10)
     return text.load_region(t.spark, "coloc_credsets", f"{base}/index", 3, 5_000, 25_000)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from assocspark.operators import joins
+from assocspark.plans import loads
 from assocspark.sources import tables
 from conftest import SMALL, plan_of
 
@@ -161,3 +162,17 @@ def test_bucketed_queries_ask_for_their_buckets(spark, monkeypatch):
     assert asked == [
         ("coloc_credsets", buckets, False, None), ("credible_sets", buckets, False, None), ("variant_annotation", buckets, True, 1),
     ]
+
+
+def test_sorted_region_files_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 500)
+    parts, write = [], loads.write_bgzf
+
+    def noted(df, path):
+        parts.append(df.rdd.getNumPartitions())
+        return write(df, path)
+
+    monkeypatch.setattr(loads, "write_bgzf", noted)
+    rows = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    entry.queries()["bgz_region"](spark, SMALL).collect()
+    assert parts == [-(-rows // 500)] and parts[0] > 8
