@@ -37,6 +37,7 @@ _BAND = 16
 _BITS = 22
 _KEPT = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in range(256)])
 
+SLICE = 1 << 19  # bytes of texts searched at a time
 SCHEMA = "item_id long, n_pieces long, n_found long, edits long, start long, end long"
 
 
@@ -206,7 +207,7 @@ def contaminated(docs: DataFrame, items: DataFrame, keep: tuple[str, ...] = ("do
     def scan(index: Index) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in text.slices(batch, "text", 1 << 20):
+                for part in text.slices(batch, "text", SLICE):
                     doc, item, found, edits, start, end = index.find(part.column("text"))
                     columns = [part.column(c).take(pa.array(doc)) for c in keep]
                     numbers = (index.items[item] if len(item) else item, index.total[item], found, edits, start, end)
@@ -228,7 +229,7 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     def scan(source: DataFrame, index: Index) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part in text.slices(batch, "text", 1 << 20):
+                for part in text.slices(batch, "text", SLICE):
                     fine = np.ones(part.num_rows, bool)
                     fine[index.find(part.column("text"))[0]] = False
                     yield part.filter(pa.array(fine))

@@ -27,6 +27,7 @@ from assocspark.llm.store import stored
 BUCKETS = 1 << 16
 ORDERS = 3
 PER_LANGUAGE = 400
+SLICE = 1 << 18  # bytes of texts counted at a time; the arrays of a slice take about 50 times as much
 UNKNOWN = "und"
 _GAP, _EDGE = 32, 0
 _letters: list[np.ndarray] = []
@@ -95,7 +96,7 @@ def _idf(docs: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for part in text.slices(batch, "text", 2 << 20):
+            for part in text.slices(batch, "text", SLICE):
                 for found, _ in counts(part.column("text")):
                     seen[found] += 1
                     n += 1
@@ -135,7 +136,7 @@ def _sample(docs: DataFrame, per_language: int) -> list:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.slices(batch, "text", 2 << 20):
+            for part in text.slices(batch, "text", SLICE):
                 pairs = list(counts(part.column("text")))
                 begin = np.concatenate([[0], np.cumsum([len(f) for f, _ in pairs])]).astype(int)
                 flat = [np.concatenate([p[k] for p in pairs]).astype(np.int32) for k in (0, 1)]
@@ -195,7 +196,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.slices(batch, "text", 2 << 20):
+            for part in text.slices(batch, "text", SLICE):
                 names, scores = [], []
                 for found, count in counts(part.column("text")):
                     p = model.probabilities(found, count) if model and len(found) else None

@@ -39,6 +39,7 @@ TOP = 4_000  # registers are truncated to 0 .. TOP + 1
 RATE = 20.0
 FILTER_BITS = 24
 CELLS = 1 << 18
+SLICE = 1 << 19  # bytes of texts hashed at a time
 SLACK = 0.17  # estimates this far below the threshold are still verified: over four standard errors
 
 _SKETCH = "doc_id long, n_shingles long, class long, digest binary, registers binary"
@@ -66,7 +67,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.slices(batch, "text", 2 << 20):
+            for part in text.slices(batch, "text", SLICE):
                 values, begin = text.distinct_runs(*text.shingles(part.column("text"), WORDS))
                 n = part.num_rows
                 twin = np.stack([text.span_hashes(values, begin[:-1], begin[1:], b) for b in text.BASES], 1)
@@ -169,7 +170,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text.slices(batch, "text", 2 << 20):
+            for part in text.slices(batch, "text", SLICE):
                 values, begin = text.distinct_runs(*text.shingles(part.column("text"), WORDS))
                 own = text.span_hashes(values, begin[:-1], begin[1:])
                 place = own & np.uint64((1 << FILTER_BITS) - 1)

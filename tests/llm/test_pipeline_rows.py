@@ -20,3 +20,24 @@ def test_rows_are_judged_one_by_one(spark):
     left = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
     assert left == sorted([(1, LONG), (2, OTHER), (3, "same row " * 10), (None, "no id and no copy"), (4, None), (4, None), (5, "")], key=str)
     assert corpus_pipeline.near_duplicate_stage(spark, docs.limit(0), "").collect() == []
+
+
+def test_slices_keep_the_working_set_of_a_worker_small():
+    """Texts of 8 MB come in one Arrow batch; language counts of slices of 2 MB took near 100 MB beside it in each worker."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from assocspark.llm import langid, minhash, text
+
+    words = " ".join(f"wort{i % 977} und {i}" for i in range(600_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([words[k : k + 2_000] for k in range(0, 8 << 20, 2_000)])], names=["text"])
+    counted = {langid: lambda c: [None for _ in langid.counts(c)], minhash: lambda c: text.distinct_runs(*text.shingles(c))}
+    for module, work in counted.items():
+        seen = 0
+        for part in list(text.slices(batch, "text", module.SLICE))[:2]:
+            tracemalloc.start()
+            work(part.column("text"))
+            seen = max(seen, tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+        assert 0 < seen < 32 << 20
