@@ -49,11 +49,15 @@ _DENSE_PEAK = (
 
 
 def _credible_sets(line: str, site: str, peak: str) -> str:
+    return _sets_text(line, site, peak, f"{line} % 13", _dataset(line), _data_type(line), "lineitem")
+
+
+def _sets_text(line: str, site: str, peak: str, group: str, dataset: str, data_type: str, source: str) -> str:
     return f"""
-SELECT {_dataset(line)} AS dataset, {_data_type(line)} AS data_type,
-  CASE WHEN {line} % 13 = 10 THEN {peak} ELSE 'G' || CAST({line} AS STRING) END AS trait,
+SELECT {dataset} AS dataset, {data_type} AS data_type,
+  CASE WHEN {group} = 10 THEN {peak} ELSE 'G' || CAST({line} AS STRING) END AS trait,
   'T' || CAST(l_suppkey AS STRING) AS trait_original,
-  CASE WHEN {line} % 13 IN (10, 11) THEN CASE l_linenumber % 3 WHEN 0 THEN 'l1.B' WHEN 1 THEN 'l1.CD4_T' ELSE 'l1.Mono' END END AS cell_type,
+  CASE WHEN {group} IN (10, 11) THEN CASE l_linenumber % 3 WHEN 0 THEN 'l1.B' WHEN 1 THEN 'l1.CD4_T' ELSE 'l1.Mono' END END AS cell_type,
   {site}, {_ALT} AS alt,
   l_quantity AS mlog10p, l_discount - 5e-2 AS beta, CASE WHEN l_linenumber % 6 = 0 THEN NULL ELSE l_tax END AS se,
   CAST(l_orderkey * 7 % 1000 AS DOUBLE) / 1e3 AS pip,
@@ -62,7 +66,20 @@ SELECT {_dataset(line)} AS dataset, {_data_type(line)} AS data_type,
   CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE l_discount * 1e1 END AS aaf,
   CASE l_orderkey % 5 WHEN 0 THEN 'missense_variant' WHEN 1 THEN 'frameshift_variant' WHEN 2 THEN 'stop_gained' WHEN 3 THEN 'intron_variant' END AS most_severe,
   CASE WHEN l_orderkey % 5 < 4 THEN 'G' || CAST({line} AS STRING) END AS gene_most_severe
-FROM lineitem"""
+FROM {source}"""
+
+
+def _short_credible_sets(line: str, site: str, peak: str) -> str:
+    """Spark's text of the same rows: the group is computed once a row, and its data set and type are looked up in lists.
+
+    A chain of cases is copied into every filter on it. With the owners' filter the code of a row came to more than the 8,000 bytes of
+    a method that the JVM compiles, so it was interpreted.
+    """
+    names, last = ", ".join(f"'{_DATASETS.get(n, '')}'" for n in range(13)), "CAST(line_group AS INT) + 1"
+    types = ", ".join("'{}'".format({3: "pQTL", 12: "pQTL", 10: "caQTL", 11: "eQTL"}.get(n, "GWAS")) for n in range(13))
+    dataset = f"CASE WHEN line_group >= 0 AND line_group <> 11 THEN element_at(array({names}), {last}) ELSE 'QTD' || lpad(CAST(({line}) AS STRING), 6, '0') END"
+    data_type = f"CASE WHEN line_group >= 0 THEN element_at(array({types}), {last}) ELSE 'GWAS' END"
+    return _sets_text(line, site, peak, "line_group", dataset, data_type, f"(SELECT *, {line} % 13 AS line_group FROM lineitem) AS grouped")
 
 
 def _coloc_credsets(sets: str) -> str:
@@ -118,9 +135,12 @@ _ANNOTATION = """CAST(chr AS STRING) || ':' || CAST(pos AS STRING) || ':' || ref
   pos % 100000 AS index, CASE pos % 4 WHEN 0 THEN 'missense_variant' WHEN 1 THEN 'intron_variant' ELSE 'stop_gained' END AS most_severe,
   'G' || CAST(pos % 312 AS STRING) AS gene_most_severe, 'rs' || CAST(pos AS STRING) AS rsid"""
 
+_SETS = (_LINE, _SITE, _PEAK.format(k="l_partkey"))
+_DENSE_SETS = (f"{_LINE} % 312", _DENSE_SITE, _DENSE_PEAK)
+
 STANDINS: dict[str, str] = {
-    "credible_sets": _credible_sets(_LINE, _SITE, _PEAK.format(k="l_partkey")),
-    "dense_credible_sets": _credible_sets(f"{_LINE} % 312", _DENSE_SITE, _DENSE_PEAK),
+    "credible_sets": _credible_sets(*_SETS),
+    "dense_credible_sets": _credible_sets(*_DENSE_SETS),
     "coloc_credsets": _coloc_credsets("credible_sets"),
     "dense_coloc_credsets": _coloc_credsets("dense_credible_sets"),
     "colocalization": _colocalization(
@@ -222,8 +242,10 @@ SELECT CAST(n_nationkey + CASE WHEN n_nationkey = 3 THEN 900 ELSE 100 END AS STR
 UNION ALL SELECT CAST(r_regionkey + 10 AS STRING), r_name FROM region UNION ALL SELECT '1', 'ROOT'""",
 }
 
-# Spark's texts of stand-ins that it makes with smaller shuffles; the rows are the same. All annotation follows from the site.
+# Spark's texts of stand-ins that it makes with smaller shuffles or shorter code; the rows are the same. All annotation follows from the site.
 SPARK_TEXTS: dict[str, str] = {
+    "credible_sets": _short_credible_sets(*_SETS),
+    "dense_credible_sets": _short_credible_sets(*_DENSE_SETS),
     "annotated_sites": _SITES,
     "variant_annotation": f"SELECT {_ANNOTATION} FROM (SELECT DISTINCT chr, pos, ref, alt FROM annotated_sites) AS sites",
 }
