@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from assocspark.operators import cells, joins
+from assocspark.operators import cells, intervals, joins
 from conftest import plan_of
 
 
@@ -66,3 +66,13 @@ def test_sets_of_few_pairs_are_joined_as_they_are(spark):
     sets = spark.range(900).selectExpr("'d' AS dataset", "'c' || id % 300 AS cs_id", "1L AS chr", "id AS pos", "'A' AS ref", "'G' AS alt", "0.5D AS pip")
     joined = joins.colocalized_members(pairs, sets)
     assert "_cell" not in plan_of(joined) and joined.count() == 900
+
+
+def test_overlaps_of_one_place_are_dealt_over_tasks(spark, no_broadcast):
+    """A place with 2,500 regions and 2,500 peaks is one bin of 6 million pairs; a second place is met as before."""
+    regions = spark.range(2_501).selectExpr("id % 1 + 1 AS chr", "IF(id = 0, 900000, 100) AS ls", "IF(id = 0, 900000, 100) + 200 AS le")
+    peaks = spark.range(2_501).selectExpr("id % 1 + 1 AS chr", "IF(id = 0, 900000, 150) AS rs", "IF(id = 0, 900000, 150) + 50 + id % 50 AS re")
+    joined = intervals.overlapping(regions, peaks, F.col("ls"), F.col("le"), F.col("rs"), F.col("re"))
+    assert joined.columns == ["chr", "ls", "le", "rs", "re"]
+    tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 2_500**2 + 1 and max(tasks) < 2_500**2 / 2
